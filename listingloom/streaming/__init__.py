@@ -1,0 +1 @@
+"""No streaming operators: every feed in scope is a bounded batch of files."""
