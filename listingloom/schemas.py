@@ -12,7 +12,23 @@ DEFAULT_CATEGORY = "BOOK"
 REPORT_ROWS = 2000
 SAMPLE_ROWS = 5
 
-PRODUCT = T.StructType.fromDDL(
+_TYPES = {
+    "string": T.StringType(),
+    "bigint": T.LongType(),
+    "int": T.IntegerType(),
+    "double": T.DoubleType(),
+    "boolean": T.BooleanType(),
+}
+
+
+def _struct(columns: str, **nested: T.DataType) -> T.StructType:
+    """Struct of ``name type`` pairs, then the nested fields; needs no session."""
+    pairs = [column.split() for column in columns.split(",")]
+    flat = [T.StructField(name, _TYPES[kind]) for name, kind in pairs]
+    return T.StructType(flat + [T.StructField(name, kind) for name, kind in nested.items()])
+
+
+PRODUCT = _struct(
     """
     source_name string, standard_category string, source_category_id string,
     source_category_name string, source_parent_category_name string,
@@ -26,7 +42,7 @@ PRODUCT = T.StructType.fromDDL(
 )
 
 # One flat record per product, as the capture side writes it.
-FLAT_FEED = T.StructType.fromDDL(
+FLAT_FEED = _struct(
     """
     source_name string, standard_category string, source_category_id string,
     source_category_name string, source_parent_category_name string,
@@ -38,7 +54,7 @@ FLAT_FEED = T.StructType.fromDDL(
     """
 )
 
-CATALOG_PRODUCT = T.StructType.fromDDL(
+CATALOG_PRODUCT = _struct(
     """
     product_id string, product_name string, product_price string,
     product_finalprice string, discount string, sold_qty string,
@@ -50,25 +66,25 @@ CATALOG_PRODUCT = T.StructType.fromDDL(
 CATALOG_BODY = T.StructType([T.StructField("product_list", T.ArrayType(CATALOG_PRODUCT))])
 
 # One record per captured catalog response, products nested in the body.
-CATALOG_FEED = T.StructType(
-    T.StructType.fromDDL(
-        """
-        source_name string, run_id string, step string,
-        source_category_name string, source_category_url string,
-        response_url string, status int, headers map<string,string>,
-        crawl_time string, is_success boolean, error_message string
-        """
-    ).fields
-    + [T.StructField("body", CATALOG_BODY)]
+CATALOG_FEED = _struct(
+    """
+    source_name string, run_id string, step string,
+    source_category_name string, source_category_url string,
+    response_url string, status int, crawl_time string,
+    is_success boolean, error_message string
+    """,
+    headers=T.MapType(T.StringType(), T.StringType()),
+    body=CATALOG_BODY,
 )
 
 # One listing page as the shop's API returns it.
-LISTING_ITEM = T.StructType.fromDDL(
+LISTING_ITEM = _struct(
     """
     id bigint, name string, price bigint, original_price bigint,
     discount bigint, rating_average double, review_count bigint,
-    quantity_sold struct<value: bigint>, url_path string, thumbnail_url string
-    """
+    url_path string, thumbnail_url string
+    """,
+    quantity_sold=_struct("value bigint"),
 )
 LISTING_PAGE = T.StructType([T.StructField("data", T.ArrayType(T.StringType()))])
 
