@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,11 +26,12 @@ BLOCK_LENGTH = 6
 
 def product_key(name: Column) -> Column:
     """Lower-case words of a product name without remarks; NULL if none is left."""
-    bare = reduce(
-        lambda text, remark: F.regexp_replace(text, remark, " "),
-        BRACKETED + REMARKS,
-        F.lower(name.cast("string")),
-    )
+    blank = F.lit(" ")
+    bare = F.lower(name.cast("string"))
+    for pattern in BRACKETED:
+        bare = F.regexp_replace(bare, pattern, " ")
+    for remark in REMARKS:
+        bare = F.replace(bare, F.lit(remark), blank)
     return F.nullif(F.trim(F.regexp_replace(bare, NOT_A_NAME_CHARACTER, " ")), F.lit(""))
 
 
@@ -47,7 +46,7 @@ def word_list(key: Column) -> Column:
 
 def word_set_text(key: Column) -> Column:
     """The distinct words of a key in sorted order, as one text."""
-    return F.array_join(F.array_sort(F.array_distinct(word_list(key))), " ")
+    return F.array_join(F.sort_array(F.array_distinct(word_list(key))), " ")
 
 
 def jaccard(left: Column, right: Column) -> Column:

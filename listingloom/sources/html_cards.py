@@ -8,12 +8,18 @@ flags are cleaned afterwards with column expressions.
 from __future__ import annotations
 
 import re
+import sys
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 
+# Tasks get the functions of this module themselves, not a reference to it, so
+# the package need not be installed on the executors.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 VOID_TAGS = set("area base br col embed hr img input link meta source track wbr".split())
 # Tags that a new one of the same kind closes when the page left them open.
 SELF_CLOSING = set("li p tr td th option dt dd".split())

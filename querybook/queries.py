@@ -655,12 +655,12 @@ ID = ["product_id"]
 
 @query
 def er_candidate_pairs(t: Tables) -> DataFrame:
-    offers = resolve.staged_offers(fx.document_offers(t), ID)
+    offers = resolve.offers(fx.document_offers(t), ID)
     return resolve.candidate_pairs(resolve.staged_word_sets(offers))
 
 
 def _scored(t: Tables) -> DataFrame:
-    return resolve.scored_pairs(resolve.staged_offers(fx.document_offers(t), ID), ID)
+    return resolve.scored_pairs(resolve.offers(fx.document_offers(t), ID), ID)
 
 
 def _rounded(pairs: DataFrame) -> DataFrame:
