@@ -89,6 +89,8 @@ def publish_external_table(spark: SparkSession, name: str, path: str) -> DataFra
     folder = re.sub(r"^s3://", "s3a://", path)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.catalog.createTable(name, path=folder, source="parquet")
+    if any(column.isPartition for column in spark.catalog.listColumns(name)):
+        spark.catalog.recoverPartitions(name)
     return spark.table(name)
 
 
