@@ -656,7 +656,8 @@ ID = ["product_id"]
 @query
 def er_candidate_pairs(t: Tables) -> DataFrame:
     offers = resolve.offers(fx.document_offers(t), ID)
-    return resolve.candidate_pairs(resolve.staged_word_sets(offers))
+    posted = resolve.postings(resolve.word_sets(offers), resolve.distinct_offers(offers))
+    return resolve.candidate_pairs(posted)
 
 
 def _scored(t: Tables) -> DataFrame:
