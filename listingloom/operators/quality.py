@@ -85,12 +85,13 @@ def crawl_summary(catalog: DataFrame, by: str = "source_name") -> DataFrame:
 
 def completeness_check(targets: DataFrame, responses: DataFrame, expected: str) -> DataFrame:
     """One row: responses expected over all targets, responses there, enough or not."""
-    wanted = targets.agg(F.coalesce(F.sum(expected), F.lit(0)).cast("bigint").alias("expected_total"))
+    wanted = targets.agg(F.sum(expected).cast("bigint").alias("expected_total"))
     there = responses.agg(F.count(F.lit(1)).alias("actual_total"))
-    # Both sides are single aggregate rows.
-    return wanted.crossJoin(there).withColumn(
-        "is_complete", F.col("actual_total") >= F.col("expected_total")
+    both = wanted.unionByName(there, allowMissingColumns=True).agg(
+        F.coalesce(F.sum("expected_total"), F.lit(0)).alias("expected_total"),
+        F.sum("actual_total").alias("actual_total"),
     )
+    return both.withColumn("is_complete", F.col("actual_total") >= F.col("expected_total"))
 
 
 def data_quality_report(checked: DataFrame, run: str, product_id: str = "product_id") -> DataFrame:

@@ -48,23 +48,24 @@ def run_summary(counts: DataFrame, rejected: DataFrame, run_ts: str, outputs: di
     ``counts`` is the stage-count table, a row per source.
     """
     stages = ["before_validate", "after_validate", "after_dedup"]
-    totals = counts.agg(
-        *[F.coalesce(F.sum(stage), F.lit(0)).alias(f"total_{stage}") for stage in stages],
-        F.sort_array(F.collect_list(F.struct("source_name", *stages))).alias("source_counts"),
-    )
     bad = rejected.agg(F.count(F.lit(1)).alias("bad_products"))
-    paths = F.create_map(*[F.lit(x) for item in outputs.items() for x in item]) if outputs else F.lit(None)
-    # Both sides are single aggregate rows.
-    return totals.crossJoin(bad).select(
+    per_source = F.when(F.col("source_name").isNotNull(), F.struct("source_name", *stages))
+    totals = counts.unionByName(bad, allowMissingColumns=True).agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in (*stages, "bad_products")],
+        # One entry per feed.
+        F.sort_array(F.collect_list(per_source)).alias("source_counts"),
+    )
+    paths = F.create_map(*[F.lit(x) for item in outputs.items() for x in item])
+    return totals.select(
         F.lit(run_ts).alias("processed_at"),
         F.lit("pyspark").alias("engine"),
-        F.col("total_before_validate"),
-        F.col("total_after_validate").alias("total_valid_before_dedup"),
-        F.col("total_after_dedup"),
+        F.col("before_validate").alias("total_before_validate"),
+        F.col("after_validate").alias("total_valid_before_dedup"),
+        F.col("after_dedup").alias("total_after_dedup"),
         "bad_products",
-        (F.col("total_after_validate") - F.col("total_after_dedup")).alias("duplicate_products"),
+        (F.col("after_validate") - F.col("after_dedup")).alias("duplicate_products"),
         "source_counts",
-        paths.cast("map<string,string>").alias("outputs"),
+        paths.alias("outputs"),
     )
 
 
