@@ -8,28 +8,33 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+_local_folders: dict[str, str] = {}
 
 
 def work_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder below the shared folder the session names.
+    """A fresh folder below the shared folder that the session names.
 
-    Where the session names none (a single-machine test session) one is made
-    and recorded on the session, so that every later call agrees on it.
+    A single-machine session that names none gets a temporary one. On a cluster
+    that would not be seen by all executors, so the setting is required there.
     """
     base = spark.conf.get(CHECKPOINT_KEY, None)
     if not base:
-        base = tempfile.mkdtemp(prefix="listingloom-")
-        spark.conf.set(CHECKPOINT_KEY, base)
+        context = spark.sparkContext
+        if not context.master.startswith("local"):
+            raise ValueError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
+        if context.applicationId not in _local_folders:
+            _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="listingloom-")
+        base = _local_folders[context.applicationId]
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
+def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and go on from the written table.
 
     Used where several branches read the same expensive frame. Unlike a cache
     the table survives lost executors, and each branch reads only its columns.
     """
     spark = df.sparkSession
-    target = path or work_dir(spark, label)
+    target = work_dir(spark, label)
     df.write.mode("errorifexists").parquet(target)
     return spark.read.schema(df.schema).parquet(target)
