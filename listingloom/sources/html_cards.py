@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 import sys
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -42,12 +42,13 @@ class CardSpec:
     link_fallback: str | None = None
 
 
-@dataclass
 class _Node:
-    tag: str
-    attrs: dict[str, str]
-    parent: "_Node | None" = None
-    children: list = field(default_factory=list)
+    __slots__ = ("tag", "attrs", "classes", "parent", "children")
+
+    def __init__(self, tag: str, attrs: dict[str, str], parent: "_Node | None" = None) -> None:
+        self.tag, self.attrs, self.parent = tag, attrs, parent
+        self.classes = frozenset(attrs["class"].split()) if "class" in attrs else frozenset()
+        self.children: list[_Node | str] = []
 
 
 class _TreeBuilder(HTMLParser):
@@ -79,19 +80,23 @@ class _TreeBuilder(HTMLParser):
         self.at.children.append(data)
 
 
+def _step(text: str) -> tuple:
+    tag, classes, attr, part = STEP.match(text).groups()
+    return tag, frozenset(filter(None, classes.split("."))), attr, part or ""
+
+
 def _selector(text: str) -> list[list[tuple]]:
-    return [
-        [STEP.match(step).groups() for step in option.split()] for option in text.split(",")
-    ]
+    """Alternatives of a selector, each its steps from the outermost inwards."""
+    return [[_step(step) for step in option.split()] for option in text.split(",")]
 
 
 def _fits(node: _Node, step: tuple) -> bool:
     tag, classes, attr, part = step
-    if tag and node.tag != tag:
-        return False
-    if classes and not set(classes[1:].split(".")) <= set(node.attrs.get("class", "").split()):
-        return False
-    return not attr or (attr in node.attrs and (part or "") in node.attrs[attr])
+    return (
+        (not tag or node.tag == tag)
+        and classes <= node.classes
+        and (not attr or (attr in node.attrs and part in node.attrs[attr]))
+    )
 
 
 def _selected(node: _Node, option: list[tuple]) -> bool:
@@ -105,15 +110,18 @@ def _selected(node: _Node, option: list[tuple]) -> bool:
     return not ancestors
 
 
-def _walk(node: _Node):
-    for child in node.children:
-        if isinstance(child, _Node):
-            yield child
-            yield from _walk(child)
+def _below(node: _Node) -> list[_Node]:
+    """All nodes below one, in page order."""
+    found, waiting = [], [node]
+    while waiting:
+        at = waiting.pop()
+        found.append(at)
+        waiting.extend(c for c in reversed(at.children) if not isinstance(c, str))
+    return found[1:]
 
 
-def _find(node: _Node, selector: list[list[tuple]]):
-    return (n for n in _walk(node) if any(_selected(n, option) for option in selector))
+def _matching(nodes: list[_Node], selector: list[list[tuple]]):
+    return (n for n in nodes if any(_selected(n, option) for option in selector))
 
 
 def _text(node: _Node, gap: str) -> str:
@@ -131,13 +139,12 @@ def _third_ancestor(node: _Node) -> _Node:
     return node
 
 
-def _value(card: _Node, selector: list[list[tuple]], attr: str) -> str | None:
-    hit = card if selector == [[]] else next(_find(card, selector), None)
-    if hit is None:
+def _value(node: _Node | None, attr: str) -> str | None:
+    if node is None:
         return None
     if attr in ("text", "tight_text"):
-        return _text(hit, " " if attr == "text" else "")
-    return hit.attrs.get(attr)
+        return _text(node, " " if attr == "text" else "")
+    return node.attrs.get(attr)
 
 
 def extract_cards(
@@ -146,24 +153,31 @@ def extract_cards(
     """One row per card: the page's ``keep`` columns, the position, the raw fields."""
     card_selector = _selector(spec.cards)
     fallback = _selector(spec.link_fallback) if spec.link_fallback else None
-    parts = [(_selector(sel), attr) for sel, attr in spec.fields.values()]
+    selectors = {sel: _selector(sel) for sel, _ in spec.fields.values() if sel}
+    parts = list(spec.fields.values())
 
     def cards_of(markup: str | None) -> list[_Node]:
         builder = _TreeBuilder()
         builder.feed(markup or "")
         builder.close()
-        cards = list(_find(builder.root, card_selector))
+        nodes = _below(builder.root)
+        cards = list(_matching(nodes, card_selector))
         if not cards and fallback:
-            cards = [_third_ancestor(link) for link in _find(builder.root, fallback)]
+            cards = [_third_ancestor(link) for link in _matching(nodes, fallback)]
         return cards
 
+    def values_of(card: _Node) -> list[str | None]:
+        nodes = _below(card)
+        hits = {sel: next(_matching(nodes, steps), None) for sel, steps in selectors.items()}
+        return [_value(hits[sel] if sel else card, attr) for sel, attr in parts]
+
     def batches(page_batches):
         for batch in page_batches:
             page_rows, cells = [], []
             for row, markup in enumerate(batch.column(html).to_pylist()):
                 for pos, card in enumerate(cards_of(markup)):
                     page_rows.append(row)
-                    cells.append((pos, *(_value(card, sel, attr) for sel, attr in parts)))
+                    cells.append((pos, *values_of(card)))
             kept = [batch.column(name).take(pa.array(page_rows, pa.int64())) for name in keep]
             columns = list(zip(*cells)) or [()] * (len(parts) + 1)
             yield pa.RecordBatch.from_arrays(

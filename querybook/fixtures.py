@@ -218,3 +218,45 @@ def document_offers(t: Tables) -> DataFrame:
         product_key(F.col("text")).alias("product_key"),
         F.col("n_chars").alias("price"),
     )
+
+
+def shop_pages(t: Tables, shop: str) -> DataFrame:
+    """Each document as a shop's listing page, each of its lines as a card."""
+    def card(line: Column, i: Column) -> Column:
+        title = line
+        for mark, escaped in (("&", "&amp;"), ("<", "&lt;"), ('"', "&quot;")):
+            title = F.replace(title, F.lit(mark), F.lit(escaped))
+        doc, size = F.col("doc_id"), F.length(line)
+        pieces = {
+            "phuongnam": (
+                '<div class="item product-item"><h3><a title="', title, '" href="/p/', F.floor(i / 2),
+                '"></a></h3><span class="price">', size, '.000đ</span><del class="old-price">', size + 1,
+                '.000đ</del><img data-src="//cdn.example/', doc, "/", i, '.jpg" src="/s.jpg"></div>',
+            ),
+            "vinabook": (
+                '<li class="product-item"><div class="product-img"><img alt="', title, '" data-lazy="i/', i,
+                '.jpg"></div><div class="product-detail"><p class="pro-name"><a href="/products/', doc, "-", i,
+                '/"></a></p><span class="current-price">', size, '<sup>₫</sup></span></div>'
+                '<div class="product-sale"><span>-', i % 100, "%</span></div>",
+                F.when(i % 3 == 0, F.concat(F.lit("<a onclick=\"add_to_cart('"), i, F.lit("')\">+</a>"))).otherwise(""),
+                F.when(i % 4 == 0, "Hết hàng").otherwise(""),
+            ),
+            "bookbuy": (
+                '<div class="product-item"><div class="img-view" title="', title, '" productid="', i,
+                "\" style=\"background:url('/v/", i, ".jpg')\"></div><div class=\"t-view\"><a href=\"/b/", doc, "/", i,
+                '"></a></div><div class="p-view"><b class="price">', size, '</b><i class="real-price">', size + 1,
+                '</i><i class="sale-off">', i % 100, "%</i></div></div>",
+            ),
+        }[shop]
+        return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in pieces])
+
+    cards = F.array_join(F.transform(F.split("text", "\n"), card), "\n")
+    return t.documents.select(
+        F.col("doc_id").alias("page_id"),
+        F.concat(F.lit("<html><body><div class='list'>"), cards, F.lit("</div></body></html>")).alias("html"),
+        F.lit("BOOK").alias("standard_category"),
+        F.col("lang").alias("source_category_name"),
+        F.concat(F.lit("/c/"), "lang").alias("source_category_url"),
+        F.col("doc_id").cast("int").alias("crawl_page"),
+        F.lit("2024-05-31T12:00:00").alias("crawl_time"),
+    )

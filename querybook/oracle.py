@@ -111,6 +111,8 @@ lines as (
     from documents)
 """
 
+STRIPPED = "regexp_replace(line, '^\\s+|\\s+$', '', 'g')"
+
 LINKS = """
 links as (
     select page_id, unnest(range(len(names))) as pos, unnest(names) as name, unnest(hrefs) as link
@@ -417,6 +419,34 @@ ORACLE: dict[str, str] = {
                cast(pos as integer) as discount,
                case when pos % 10 = 0 then false end as stock_available
         from links""",
+    "html_phuongnam": f"""
+        with {LINES} select 'phuongnam' as source_name, lang as source_category_name,
+               cast(doc_id as integer) as crawl_page, cast(null as varchar) as product_id,
+               md5({STRIPPED}) as name_md5, length(line) * 1000 as price,
+               (length(line) + 1) * 1000 as original_price, cast(null as integer) as discount,
+               cast(null as boolean) as stock_available,
+               'https://nhasachphuongnam.com/p/' || (i // 2) as product_url,
+               'https://cdn.example/' || doc_id || '/' || i || '.jpg' as image_url
+        from lines where line <> ''
+        qualify row_number() over (partition by doc_id, i // 2 order by i) = 1""",
+    "html_vinabook": f"""
+        with {LINES} select 'vinabook' as source_name, lang as source_category_name,
+               cast(doc_id as integer) as crawl_page,
+               case when i % 3 = 0 then cast(i as varchar) else doc_id || '-' || i end as product_id,
+               md5({STRIPPED}) as name_md5, length(line) as price,
+               cast(null as bigint) as original_price, cast(i % 100 as integer) as discount,
+               case when i % 4 = 0 then false end as stock_available,
+               'https://www.vinabook.com/products/' || doc_id || '-' || i || '/' as product_url,
+               'https://www.vinabook.com/i/' || i || '.jpg' as image_url
+        from lines where line <> ''""",
+    "html_bookbuy": f"""
+        with {LINES} select 'bookbuy' as source_name, lang as source_category_name,
+               cast(doc_id as integer) as crawl_page, cast(i as varchar) as product_id,
+               md5({STRIPPED}) as name_md5, length(line) as price, length(line) + 1 as original_price,
+               cast(i % 100 as integer) as discount, cast(null as boolean) as stock_available,
+               'https://bookbuy.vn/b/' || doc_id || '/' || i as product_url,
+               'https://bookbuy.vn/v/' || i || '.jpg' as image_url
+        from lines where line <> ''""",
     # --- projection and normalization ---
     "project_tolerant": """
         select cast(p_partkey as varchar) as p_partkey, p_name, cast(null as bigint) as p_weight

@@ -401,6 +401,30 @@ def html_field_fallbacks(t: Tables) -> DataFrame:
     )
 
 
+def _shop_cards(t: Tables, shop: shop_pages.Shop) -> DataFrame:
+    rows = shop_pages.shop_products(fx.shop_pages(t, shop.source_name), shop)
+    return rows.select(
+        "source_name", "source_category_name", "crawl_page", "product_id",
+        F.md5("product_name").alias("name_md5"), "price", "original_price", "discount",
+        "stock_available", "product_url", "image_url",
+    )
+
+
+@query
+def html_phuongnam(t: Tables) -> DataFrame:
+    return _shop_cards(t, shop_pages.PHUONGNAM)
+
+
+@query
+def html_vinabook(t: Tables) -> DataFrame:
+    return _shop_cards(t, shop_pages.VINABOOK)
+
+
+@query
+def html_bookbuy(t: Tables) -> DataFrame:
+    return _shop_cards(t, shop_pages.BOOKBUY)
+
+
 # --- projection and normalization ---------------------------------------------
 
 
