@@ -21,15 +21,23 @@ def first_filled(*candidates: Column) -> Column:
 
 
 def absolute_url(href: Column, base: str) -> Column:
-    """``href`` joined to the shop's root address; NULL and empty links stay NULL."""
-    link = non_empty(F.regexp_replace(href, r"^[\x00-\x20]+|[\t\r\n]", ""))
-    root = F.lit(base.rstrip("/"))
-    return (
-        F.when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), link)
-        .when(link.startswith("//"), F.concat(F.lit("https:"), link))
-        .when(link.rlike(r"^[/?#]"), F.concat(root, link))
-        .otherwise(F.concat(root, F.lit("/"), F.regexp_replace(link, r"^(\.{1,2}/)+", "")))
-    )
+    """``href`` joined to the shop's root address; NULL and empty links stay NULL.
+
+    A chain of anchored replacements, each reading the last one once: a CASE
+    over the same link would repeat its clean-up in every branch.
+    """
+    root = base.rstrip("/").replace("\\", "\\\\").replace("$", "\\$")
+    steps = [
+        (r"^[\x00-\x20]+|[\t\r\n]", ""),
+        (r"^//", "https://"),
+        (r"^(\.{1,2}/)+", "/"),
+        (r"^(?=[/?#])", root),
+        (r"^(?![A-Za-z][A-Za-z0-9+.\-]*:)(?=.)", root + "/"),
+    ]
+    link = href
+    for pattern, replacement in steps:
+        link = F.regexp_replace(link, pattern, replacement)
+    return non_empty(link)
 
 
 def url_tail(url: Column) -> Column:
