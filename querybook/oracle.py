@@ -5,7 +5,7 @@ from __future__ import annotations
 RUN_TS = "2024-06-01 00:00:00"
 
 
-def mean(value: str, weight: str = "") -> str:
+def mean(value: str) -> str:
     return f"cast(cast(round(cast(avg({value}) as decimal(38,10)), 2) as decimal(18,2)) as double)"
 
 
@@ -29,10 +29,6 @@ def key(name: str) -> str:
     return f"nullif(trim({x}), '')"
 
 
-def text_sum(name: str) -> str:
-    return f"cast(coalesce(sum({name}), 0) as bigint)"
-
-
 BASES = """
 products as (
     select p_partkey as product_id, p_name as product_name,
@@ -70,16 +66,14 @@ pipeline_task_audit as (
     select l_shipdate as finished_at,
            case when l_linestatus = 'F' then 'success' else 'failed' end as status from lineitem),
 latest_product_snapshot as (
-    select p.product_id, p.product_name, p.product_url, p.image_src, s.price, s.final_price,
-           s.discount_percent, s.stock_available, s.sold_qty, s.processed_time
-    from (select *, row_number() over (partition by product_id order by processed_time desc,
-                 l_orderkey, l_linenumber, l_suppkey, l_extendedprice) as rn
-          from product_snapshot) s
-    join products p on s.product_id = p.product_id where s.rn = 1),
+    select product_id, product_name, product_url, image_src, price, final_price,
+           discount_percent, stock_available, sold_qty, processed_time
+    from products join product_snapshot using (product_id)
+    qualify row_number() over (partition by product_id order by processed_time desc,
+            l_orderkey, l_linenumber, l_suppkey, l_extendedprice) = 1),
 all_ties as (
-    select s.* from product_snapshot s
-    join (select product_id, max(processed_time) as newest from product_snapshot group by 1) n
-      on s.product_id = n.product_id and s.processed_time = n.newest)
+    select * from product_snapshot where processed_time is not null
+    qualify rank() over (partition by product_id order by processed_time desc) = 1)
 """
 
 ACCOUNTS = """
@@ -214,19 +208,21 @@ ORACLE: dict[str, str] = {
         from categories c join product_category_map m on c.category_id = m.category_id
         group by 1, 2""",
     "category_performance": f"""
-        with {BASES} select c.category_id, c.category_name,
-               count(distinct m.product_id) as total_products,
-               {mean('s.price')} as avg_price, {mean('s.final_price')} as avg_final_price,
-               {mean('s.discount_percent')} as avg_discount_percent,
-               {mean('s.sold_qty')} as avg_sold_qty,
-               count(distinct case when s.stock_available then p.product_id end) as in_stock_products,
-               count(distinct case when not s.stock_available then p.product_id end) as out_stock_products
-        from categories c left join product_category_map m on c.category_id = m.category_id
-        left join products p on m.product_id = p.product_id
-        left join all_ties s on p.product_id = s.product_id
-        group by 1, 2""",
+        with {BASES},
+        shown as (select product_id as known, all_ties.* exclude (product_id)
+                  from products left join all_ties using (product_id)),
+        facts as (select category_id, category_name, product_id as mapped, shown.*
+                  from categories left join product_category_map using (category_id)
+                  left join shown on product_id = known)
+        select category_id, category_name, count(distinct mapped) as total_products,
+               {mean('price')} as avg_price, {mean('final_price')} as avg_final_price,
+               {mean('discount_percent')} as avg_discount_percent,
+               {mean('sold_qty')} as avg_sold_qty,
+               count(distinct known) filter (stock_available) as in_stock_products,
+               count(distinct known) filter (not stock_available) as out_stock_products
+        from facts group by all""",
     "price_daily": f"""
-        with {BASES} select cast(s.processed_time as date) as snapshot_date, c.category_id,
+        with {BASES} select cast(cast(s.processed_time as date) as varchar) as snapshot_date, c.category_id,
                c.category_name, count(distinct s.product_id) as total_products,
                {mean('s.price')} as avg_price, {mean('s.final_price')} as avg_final_price,
                {mean('s.discount_percent')} as avg_discount_percent,
@@ -235,34 +231,35 @@ ORACLE: dict[str, str] = {
         join categories c on m.category_id = c.category_id
         group by 1, 2, 3""",
     "rejected_daily": f"""
-        with {BASES} select cast(rejected_at as date) as run_date, count(*) as total_rejected
+        with {BASES} select cast(cast(rejected_at as date) as varchar) as run_date, count(*) as total_rejected
         from rejected_products group by 1""",
     "task_audit_daily": f"""
-        with {BASES} select cast(finished_at as date) as run_date, count(*) as total_tasks,
+        with {BASES} select cast(cast(finished_at as date) as varchar) as run_date, count(*) as total_tasks,
                count(*) filter (status = 'success') as success_tasks,
                count(*) filter (status = 'failed') as failed_tasks
         from pipeline_task_audit group by 1""",
     "health_daily": f"""
         with {BASES},
-        rd as (select cast(rejected_at as date) as d, count(*) as n from rejected_products group by 1),
-        ad as (select cast(finished_at as date) as d, count(*) as n,
-                      count(*) filter (status = 'success') as good,
-                      count(*) filter (status = 'failed') as bad
-               from pipeline_task_audit group by 1)
-        select cast(r.processed_at as date) as run_date,
-               count(distinct r.process_run_id) as total_runs,
-               {text_sum('q.total_products_seen')} as total_products_seen,
-               {text_sum('q.products_passed')} as total_products_passed,
-               {text_sum('q.products_failed')} as total_products_failed,
-               {text_sum('q.duplicate_product_id')} as total_duplicate_product_id,
-               coalesce({percent('sum(q.products_failed)', 'sum(q.total_products_seen)')}, 0)
-                   as failure_rate_percent,
-               coalesce(rd.n, 0) as total_rejected, coalesce(ad.n, 0) as total_tasks,
-               coalesce(ad.good, 0) as success_tasks, coalesce(ad.bad, 0) as failed_tasks
-        from pipeline_runs r left join data_quality_reports q on r.process_run_id = q.process_run_id
-        left join rd on cast(r.processed_at as date) = rd.d
-        left join ad on cast(r.processed_at as date) = ad.d
-        group by cast(r.processed_at as date), rd.n, ad.n, ad.good, ad.bad""",
+        reported as (
+            select cast(processed_at as date) as d, count(distinct process_run_id) as runs,
+                   sum(total_products_seen) as seen, sum(products_passed) as passed,
+                   sum(products_failed) as failed, sum(duplicate_product_id) as repeated
+            from pipeline_runs left join data_quality_reports using (process_run_id) group by 1),
+        rejects as (select cast(rejected_at as date) as d, count(*) as n from rejected_products group by 1),
+        tasks as (select cast(finished_at as date) as d, count(*) as n,
+                         sum(cast(status = 'success' as integer)) as good,
+                         sum(cast(status = 'failed' as integer)) as bad
+                  from pipeline_task_audit group by 1)
+        select cast(d as varchar) as run_date, runs as total_runs,
+               cast(coalesce(seen, 0) as bigint) as total_products_seen,
+               cast(coalesce(passed, 0) as bigint) as total_products_passed,
+               cast(coalesce(failed, 0) as bigint) as total_products_failed,
+               cast(coalesce(repeated, 0) as bigint) as total_duplicate_product_id,
+               coalesce({percent('failed', 'seen')}, 0) as failure_rate_percent,
+               coalesce(rejects.n, 0) as total_rejected, coalesce(tasks.n, 0) as total_tasks,
+               cast(coalesce(good, 0) as bigint) as success_tasks,
+               cast(coalesce(bad, 0) as bigint) as failed_tasks
+        from reported left join rejects using (d) left join tasks using (d)""",
     "quality_runs": f"""
         with {BASES} select r.process_run_id, r.processed_at, r.source_name, r.raw_file_minio,
                r.total_raw_records, q.* exclude (process_run_id)
@@ -287,14 +284,12 @@ ORACLE: dict[str, str] = {
         with {BASES} select product_id, product_name, cast(price as double) as price,
                cast(final_price as double) as final_price,
                cast(discount_percent as double) as discount_percent, processed_time
-        from latest_product_snapshot where discount_percent is not null
-        order by discount_percent desc, processed_time desc""",
+        from latest_product_snapshot where discount_percent is not null""",
     "top_sold": f"""
         with {BASES} select product_id, product_name, sold_qty,
                cast(final_price as double) as final_price,
                cast(discount_percent as double) as discount_percent, processed_time
-        from latest_product_snapshot where sold_qty is not null
-        order by sold_qty desc, processed_time desc""",
+        from latest_product_snapshot where sold_qty is not null""",
     # --- column functions ---
     "parse_long": """
         select p_partkey, cast(round(p_retailprice) as bigint) * 1000 as from_price,
@@ -549,7 +544,7 @@ ORACLE: dict[str, str] = {
                cast(count(distinct event_type) as integer) as sources
         from events""",
     "feed_totals": """
-        select event_type, cast(ts as date) as run_id, count(*) as total_products
+        select event_type, cast(cast(ts as date) as varchar) as run_id, count(*) as total_products
         from events group by 1, 2""",
     "crawl_summary": f"""
         with {LINES} select source as source_name,

@@ -23,11 +23,12 @@ QUERIES: dict[str, Query] = {}
 
 
 def _plain(df: DataFrame) -> DataFrame:
-    """Decimals as doubles, so that both engines print them alike."""
+    """Decimals as doubles and dates as text, so that both engines print them alike."""
+    shown = {T.DecimalType: "double", T.DateType: "string"}
     return df.select(
         *[
-            F.col(f.name).cast("double").alias(f.name)
-            if isinstance(f.dataType, T.DecimalType)
+            F.col(f.name).cast(shown[type(f.dataType)]).alias(f.name)
+            if type(f.dataType) in shown
             else F.col(f.name)
             for f in df.schema.fields
         ]
