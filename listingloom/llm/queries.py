@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listingloom.llm import chat, mixing
-from listingloom.llm.common import table
+from listingloom.llm import chat, language, mixing, quality
+from listingloom.llm.common import held_out, table
 from listingloom.llm.oracle import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -49,7 +49,22 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    net = language.fit(docs)
+    answer = language.language_of(F.col("text"), net)
+    return docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), answer.alias("found")).select(
+        "doc_id", "held_out", F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score")
+    )
+
+
+def op5_quality_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
+    "op2_language_id": op2_language_id,
     "op3_source_mix": op3_source_mix,
+    "op5_quality_discriminant": op5_quality_discriminant,
 }
