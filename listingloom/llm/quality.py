@@ -26,13 +26,16 @@ BLOCK = 64
 SHRINKAGE = 0.1
 #: Every share is mixed with that of so many words of ordinary prose, so that a short text is not taken for an odd one.
 PSEUDO_WORDS = 40
-#: Ordinary prose: characters of a word, then shares of upper case, symbols, repeats, marked ends, lone marks.
-WORD_CHARS, UPPER, SYMBOLS, REPEATS, BLOCK_REPEATS, MARKED, LONE = 6.0, 0.015, 0.025, 0.002, 0.1, 0.1, 0.001
+#: Ordinary prose: characters of a word, then shares of upper case, symbols, digits, repeats, marked ends, lone marks.
+WORD_CHARS, UPPER, SYMBOLS, DIGITS, REPEATS, BLOCK_REPEATS, MARKED, LONE = 6.0, 0.015, 0.025, 0.001, 0.002, 0.1, 0.1, 0.001
+#: A word counts with so many characters at most in their mean, so that one key or link does not move it.
+LONGEST = 16
 #: Scores from here on are predicted to be label 1.
 THRESHOLD = 0.3
 FEATURES = (
     "root_upper",
     "root_symbols",
+    "root_digits",
     "log_word_chars",
     "repeated_words",
     "block_repeats",
@@ -40,7 +43,7 @@ FEATURES = (
     "root_lone_marks",
 )
 
-_LETTER, _UPPER, _SPACE, _SYMBOL = range(4)
+_LETTER, _UPPER, _DIGIT, _SPACE, _SYMBOL = range(5)
 _classes: list[np.ndarray] = []
 
 
@@ -50,7 +53,7 @@ def _char_classes() -> np.ndarray:
         chars = [chr(c) for c in range(0x10000)]
         found = np.full(0x10001, _SYMBOL, np.uint8)
         found[:0x10000] = [
-            _UPPER if c.isupper() else _LETTER if c.isalnum() else _SPACE if c.isspace() else _SYMBOL
+            _UPPER if c.isupper() else _LETTER if c.isalpha() else _DIGIT if c.isdigit() else _SPACE if c.isspace() else _SYMBOL
             for c in chars
         ]
         _classes.append(found)
@@ -61,7 +64,7 @@ def describe(text: str | None) -> list[float]:
     """The statistics of one whole text; NULL, empty and blank texts look like ordinary prose."""
     words = (text or "").split()
     codes = np.frombuffer((text or "").encode("utf-32-le", "replace"), np.uint32)
-    counts = np.bincount(_char_classes()[np.minimum(codes, 0x10000)], minlength=4)
+    counts = np.bincount(_char_classes()[np.minimum(codes, 0x10000)], minlength=5)
     shown = len(codes) - counts[_SPACE]
     letters = counts[_LETTER] + counts[_UPPER]
     count = len(words)
@@ -76,7 +79,8 @@ def describe(text: str | None) -> list[float]:
     return [
         root(counts[_UPPER], letters, UPPER, WORD_CHARS),
         root(counts[_SYMBOL], shown, SYMBOLS, WORD_CHARS),
-        float(np.log((shown + PSEUDO_WORDS * WORD_CHARS) / (count + PSEUDO_WORDS))),
+        root(counts[_DIGIT], shown, DIGITS, WORD_CHARS),
+        float(np.log((sum(min(len(w), LONGEST) for w in words) + PSEUDO_WORDS * WORD_CHARS) / (count + PSEUDO_WORDS))),
         root(repeats, count, REPEATS),
         root(count - different, count, BLOCK_REPEATS),
         root(marked, count, MARKED),
