@@ -69,4 +69,21 @@ ORACLE = {
             (size * (whole + case when need > 0 and (need - before) * 2 >= size then 1 else 0 end))::bigint as taken
         from placed
     """,
+    "op8_ball_tree_top_k": r"""
+        with vectors as (
+            select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)) as vector
+            from embeddings
+            where embedding is not null
+                and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = len(embedding)
+        ), scored as (
+            select q.vec_id as query_id, c.vec_id, list_inner_product(q.vector, c.vector)::bigint as score
+            from vectors q join vectors c on q.vec_id <> c.vec_id
+            where q.vec_id % 20 = 0
+        ), ranked as (
+            select query_id, row_number() over (partition by query_id order by score desc, vec_id)::int as rank,
+                vec_id, score
+            from scored
+        )
+        select * from ranked where rank <= 20
+    """,
 }

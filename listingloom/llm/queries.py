@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listingloom.llm import chat, language, mixing, quality
+from listingloom.llm import chat, forest, language, mixing, packing, quality, topk
 from listingloom.llm.common import held_out, table
 from listingloom.llm.oracle import ORACLE
 
@@ -62,9 +62,31 @@ def op5_quality_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def word_tokenizer() -> str:
+    """Path of the public word tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op6_sequence_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pieces(table(spark, sf_dir, "documents"), word_tokenizer())
+
+
+def op8_ball_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
+
+
+def op10_forest_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_language_id": op2_language_id,
     "op3_source_mix": op3_source_mix,
     "op5_quality_discriminant": op5_quality_discriminant,
+    "op6_sequence_packing": op6_sequence_packing,
+    "op8_ball_tree_top_k": op8_ball_tree_top_k,
+    "op10_forest_near_duplicates": op10_forest_near_duplicates,
 }
