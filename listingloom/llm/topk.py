@@ -152,25 +152,28 @@ def top_k(rows: DataFrame, is_query, k: int = 20, scale: int = 64) -> DataFrame:
     blocks = max(1, -(-size[1] // BLOCK_QUERIES))
     width = max(size[2] or 0, 1)
     dealt = vectors.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
-    queries = vectors.where(is_query(F.col("vec_id"))).withColumn(
-        "block", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).cast("int")
+    queries = vectors.where(is_query(F.col("vec_id"))).select(
+        F.col("vec_id").alias("query_id"),
+        F.col("vector").alias("query"),
+        F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).cast("int").alias("block"),
     )
 
     def search(candidates: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         if not len(candidates) or not len(asked):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
         tree = BallTree(candidates["vec_id"].to_numpy(np.int64), _matrix(candidates["vector"].to_list(), width))
-        asked_ids = asked["vec_id"].to_numpy(np.int64)
-        asked_vectors = _matrix(asked["vector"].to_list(), width)
+        asked_ids = asked["query_id"].to_numpy(np.int64)
+        asked_vectors = _matrix(asked["query"].to_list(), width)
         ids, scores = tree.search(asked_ids, asked_vectors, asked["floor"].to_numpy(np.int64), k)
         found = pd.DataFrame({"query_id": np.repeat(asked_ids, k), "vec_id": ids.ravel(), "score": scores.ravel()})
         return found[found["vec_id"] != -1] if (ids == -1).any() else found
 
     def searched(rows_by_shard: DataFrame, asked: DataFrame) -> DataFrame:
         left = rows_by_shard.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+        right = asked.withColumnsRenamed({"shard": "to_shard", "block": "own_block"})
         return (
             left.groupBy("shard", "block")
-            .cogroup(asked.groupBy("shard", "block"))
+            .cogroup(right.groupBy("to_shard", "own_block"))
             .applyInPandas(search, "query_id long, vec_id long, score long")
         )
 
@@ -183,7 +186,7 @@ def top_k(rows: DataFrame, is_query, k: int = 20, scale: int = 64) -> DataFrame:
             F.when(F.count(F.lit(1)) >= k, F.min("score")).alias("kth"),
         )
         others = (
-            queries.join(kth.withColumnRenamed("query_id", "vec_id"), "vec_id", "left")
+            queries.join(kth, "query_id", "left")
             .withColumn("floor", F.coalesce("kth", lowest))
             .withColumn("shard", F.explode(F.sequence(F.lit(1), F.lit(shards - 1))))
             .drop("kth")
