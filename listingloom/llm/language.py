@@ -165,11 +165,14 @@ def sample(docs: DataFrame, given: Settings) -> pd.DataFrame:
     so any engine layout gives the same ones. Ids are picked first, then only
     their texts are read.
     """
-    known = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull())
-    key = F.xxhash64(F.col("doc_id"))
+    known = docs.select("doc_id", "lang", "text").where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull())
+    # Of a frequent language only the lower hashes can be picked; twice as many as needed go on.
+    rates = known.groupBy("lang").agg((F.lit(2.0 * given.docs_per_lang) / F.count(F.lit(1))).alias("__rate"))
     by_hash = Window.partitionBy("lang").orderBy("__key", "doc_id")
     picked = (
-        known.select("doc_id", "lang", key.alias("__key"))
+        known.select("doc_id", "lang", F.pmod(F.xxhash64("doc_id"), F.lit(2**40)).alias("__key"))
+        .join(rates, "lang", "inner")
+        .where((F.col("__key") / float(2**40) < F.col("__rate")) | (F.col("__rate") > 0.2))
         .withColumn("__n", F.row_number().over(by_hash))
         .where(F.col("__n") <= given.docs_per_lang)
         .select("doc_id")
@@ -177,7 +180,7 @@ def sample(docs: DataFrame, given: Settings) -> pd.DataFrame:
         .limit(given.max_docs)
     )
     # At most max_docs ids of eight bytes.
-    texts = known.select("doc_id", "lang", "text").join(F.broadcast(picked), "doc_id", "left_semi")
+    texts = known.join(F.broadcast(picked), "doc_id", "left_semi")
     length, most = given.window, given.windows_per_doc
 
     def cut(batches):
