@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listingloom.llm import chat, forest, language, mixing, packing, quality, topk
+from listingloom.llm import chat, extract, forest, language, mixing, packing, quality, topk
 from listingloom.llm.common import held_out, table
 from listingloom.llm.oracle import ORACLE
 
@@ -77,6 +77,10 @@ def op8_ball_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op10_forest_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -88,5 +92,6 @@ QUERIES = {
     "op5_quality_discriminant": op5_quality_discriminant,
     "op6_sequence_packing": op6_sequence_packing,
     "op8_ball_tree_top_k": op8_ball_tree_top_k,
+    "op9_html_extraction": op9_html_extraction,
     "op10_forest_near_duplicates": op10_forest_near_duplicates,
 }
