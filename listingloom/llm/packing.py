@@ -13,13 +13,16 @@ task remembers the ids of words, up to a fixed number of them.
 from __future__ import annotations
 
 import json
+import sys
 import zlib
+from array import array
 
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from listingloom.llm.common import ship_by_value
 from listingloom.storage import stage, work_dir
@@ -27,11 +30,13 @@ from listingloom.storage import stage, work_dir
 SEQUENCE = 4096
 END_ID = 2
 #: Words that a task remembers; beyond them it starts anew.
-REMEMBERED = 250_000
+REMEMBERED = 200_000
 #: Marks that may close a word and never join its letters in one token.
 MARKS = ".,!?;:$%&#*|\"()=+@-"
 #: The pattern by which the lower-casing tokenizer cuts words.
 WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Letters below this one are the same in composed form, so a word of them is one piece for the model.
+AFTER_LATIN = "\u0250"
 #: Lower-casing a whole text treats these letters otherwise than one by one.
 ODD_CASES = ("Σ", "İ")
 
@@ -41,18 +46,28 @@ class WordIds(dict):
 
     def __init__(self, tokenizer, kind: str) -> None:
         super().__init__()
-        self.tokenizer, self.kind = tokenizer, kind
-        self.to_units, self.model = tokenizer.pre_tokenizer[1].pre_tokenize_str, tokenizer.model
+        self.tokenizer, self.model = tokenizer, tokenizer.model
+        self.code = "H" if kind == "<u2" else "I"
+        # The model reads bytes as printable characters; the tokenizer itself says which.
+        to_units = tokenizer.pre_tokenizer[1].pre_tokenize_str
+        letters = filter(str.isalpha, map(chr, range(0x80, ord(AFTER_LATIN))))
+        self.units = {ord(c): to_units(c)[0][0] for c in letters}
+
+    def packed(self, ids: list[int]) -> bytes:
+        found = array(self.code, ids)
+        if sys.byteorder == "big":
+            found.byteswap()
+        return found.tobytes()
 
     def __missing__(self, word: str) -> bytes:
         letters = word.rstrip(MARKS)
-        if letters == word and word.isascii() and word.isalpha():
-            ids = [t.id for t in self.model.tokenize(self.to_units(word)[0][0])]
-            found = np.array(ids, self.kind).tobytes()
+        if letters == word and word.isalpha() and max(word) < AFTER_LATIN:
+            units = word if word.isascii() else word.translate(self.units)
+            found = self.packed([t.id for t in self.model.tokenize(units)])
         elif letters != word and letters.isalpha():
             found = self[letters] + self[word[len(letters) :]]
         else:
-            found = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, self.kind).tobytes()
+            found = self.packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
         self[word] = found
         return found
 
@@ -94,6 +109,13 @@ class Encoder:
         return b"".join(map(self.words.__getitem__, text.lower().split()))
 
 
+def in_small_batches(batches, rows: int = 1000):
+    """The same rows in frames of at most ``rows``, so that results leave the worker early."""
+    for batch in batches:
+        for at in range(0, len(batch), rows):
+            yield batch.iloc[at : at + rows]
+
+
 def tokenize(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
     """doc_id, part, before, tokens and ids of every document, stored.
 
@@ -106,7 +128,7 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame
         encoder = Encoder(tokenizer)
         end = np.array([end_id], encoder.kind).tobytes()
         part, before = TaskContext.get().partitionId(), 0
-        for batch in batches:
+        for batch in in_small_batches(batches):
             ids = [(encoder.ids(t) if isinstance(t, str) else b"") + end for t in batch["text"]]
             counts = np.array([len(x) for x in ids], np.int64) // len(end)
             starts = before + np.cumsum(counts) - counts
@@ -145,7 +167,7 @@ def pack(docs: DataFrame, tokenizer: str, sequence: int = SEQUENCE, end_id: int
     )
 
     def cut(batches):
-        for batch in batches:
+        for batch in in_small_batches(batches):
             out = []
             for doc_id, at, tokens, ids in zip(batch["doc_id"], batch["at"], batch["tokens"], batch["ids"]):
                 width = len(ids) // tokens
@@ -165,7 +187,7 @@ def pack(docs: DataFrame, tokenizer: str, sequence: int = SEQUENCE, end_id: int
     )
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(T.LongType())
 def checksum(ids: pd.Series, length: pd.Series) -> pd.Series:
     """CRC-32 of the ids as unsigned little-endian 32-bit numbers."""
     return pd.Series(
