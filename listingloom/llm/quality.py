@@ -16,6 +16,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from listingloom.llm.common import held_out, ship_by_value
 from listingloom.storage import stage
@@ -88,7 +89,7 @@ def describe(text: str | None) -> list[float]:
     ]
 
 
-@F.pandas_udf("array<double>")
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
 def statistics(texts: pd.Series) -> pd.Series:
     return pd.Series([describe(t) for t in texts])
 
