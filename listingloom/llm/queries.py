@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listingloom.llm import chat, extract, forest, language, mixing, packing, quality, topk
+from listingloom.llm import chat, extract, forest, jaccard, language, mixing, packing, quality, topk
 from listingloom.llm.common import held_out, table
 from listingloom.llm.oracle import ORACLE
 
@@ -73,6 +73,10 @@ def op6_sequence_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pieces(table(spark, sf_dir, "documents"), word_tokenizer())
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_groups(table(spark, sf_dir, "documents"))
+
+
 def op8_ball_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
 
@@ -91,6 +95,7 @@ QUERIES = {
     "op3_source_mix": op3_source_mix,
     "op5_quality_discriminant": op5_quality_discriminant,
     "op6_sequence_packing": op6_sequence_packing,
+    "op7_jaccard_join": op7_jaccard_join,
     "op8_ball_tree_top_k": op8_ball_tree_top_k,
     "op9_html_extraction": op9_html_extraction,
     "op10_forest_near_duplicates": op10_forest_near_duplicates,
