@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listingloom.llm import chat, extract, forest, jaccard, language, mixing, packing, quality, topk
+from listingloom.llm import chat, extract, forest, jaccard, language, licenses, mixing, packing, quality, topk
 from listingloom.llm.common import held_out, table
 from listingloom.llm.oracle import ORACLE
 
@@ -58,6 +58,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_documents(table(spark, sf_dir, "documents"))
+
+
 def op5_quality_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -93,6 +97,7 @@ QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_language_id": op2_language_id,
     "op3_source_mix": op3_source_mix,
+    "op4_license_scan": op4_license_scan,
     "op5_quality_discriminant": op5_quality_discriminant,
     "op6_sequence_packing": op6_sequence_packing,
     "op7_jaccard_join": op7_jaccard_join,
