@@ -37,8 +37,8 @@ MARKS = ".,!?;:$%&#*|\"()=+@-"
 WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Letters below this one are the same in composed form, so a word of them is one piece for the model.
 AFTER_LATIN = "\u0250"
-#: Lower-casing a whole text treats these letters otherwise than one by one.
-ODD_CASES = ("Σ", "İ")
+#: Lower-casing a whole text treats the first two otherwise than one by one; the others part words in Python alone.
+ODD_CASES = ("Σ", "İ", "\x1c", "\x1d", "\x1e", "\x1f")
 
 
 class WordIds(dict):
