@@ -1,6 +1,6 @@
 """Licence statements in documents by a trained paragraph classifier.
 
-A paragraph is a line. Logistic regression over its word n-grams (one to three
+A paragraph is a line. Logistic regression over its word n-grams (one to five
 words) names a licence family or none; scores are calibrated by a temperature, and
 what is not likely enough counts as unknown. A prediction stands only if the line
 also holds most of the n-grams of one of the family's template sentences.
@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 UNKNOWN = "unknown"
 LEAST_PROBABILITY = 0.5
-LEAST_COVER = 0.6
-LONGEST_GRAM = 3
+LEAST_COVER = 0.5
+LONGEST_GRAM = 5
 #: Words are runs of letters and digits, joined by single dots and hyphens.
 WORDS = r"[\p{L}\p{N}]+(?:[.-][\p{L}\p{N}]+)*"
 
@@ -118,8 +118,9 @@ TEMPLATES = {
 #: Words that licence statements do not go without.
 LEGAL = (
     "license licensed licence licenced licenses unlicense copyright copyrighted rights reserved apache gnu gpl lgpl agpl "
-    "bsd bsd-style isc mozilla mpl cc cc0 redistribute redistribution distributed permission permitted warranty warranties "
-    "waived unencumbered proprietary confidential unauthorized endorse"
+    "bsd isc mozilla mpl cc cc0 redistribute redistribution distributed permission permitted warranty warranties "
+    "waived unencumbered proprietary confidential unauthorized endorse "
+    "commons attribution attribution-sharealike attribution-noncommercial attribution-noderivatives"
 ).split()
 #: Sentences with legal words that state no licence.
 ORDINARY = (
@@ -242,11 +243,10 @@ def words_of(line: Column) -> Column:
 
 
 def _runs(words: Column, length: int) -> Column:
-    starts = F.when(F.size(words) >= length, F.sequence(F.lit(1), F.size(words) - (length - 1)))
-    return F.transform(
-        F.coalesce(starts, F.array().cast("array<int>")),
-        lambda at: F.array_join(F.slice(words, at, F.lit(length)), " "),
-    )
+    """All runs of ``length`` words; the shifted lists are made once, not per run."""
+    count = F.greatest(F.size(words) - (length - 1), F.lit(0))
+    shifted = F.arrays_zip(*[F.slice(words, F.lit(k + 1), count).alias(f"w{k}") for k in range(length)])
+    return F.transform(shifted, lambda run: F.concat_ws(" ", *[run[f"w{k}"] for k in range(length)]))
 
 
 def grams_of(words: Column) -> Column:
