@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from listingloom.llm.common import held_out, ship_by_value
+from listingloom.storage import stage
 
 LETTER = re.compile(r"[^\W\d_]")
 UNKNOWN = "und"
@@ -167,7 +168,10 @@ def sample(docs: DataFrame, given: Settings) -> pd.DataFrame:
     """
     known = docs.select("doc_id", "lang", "text").where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull())
     # Of a frequent language only the lower hashes can be picked; twice as many as needed go on.
-    rates = known.groupBy("lang").agg((F.lit(2.0 * given.docs_per_lang) / F.count(F.lit(1))).alias("__rate"))
+    rates = stage(
+        known.groupBy("lang").agg((F.lit(2.0 * given.docs_per_lang) / F.count(F.lit(1))).alias("__rate")),
+        "language-rates",
+    )
     by_hash = Window.partitionBy("lang").orderBy("__key", "doc_id")
     picked = (
         known.select("doc_id", "lang", F.pmod(F.xxhash64("doc_id"), F.lit(2**40)).alias("__key"))
