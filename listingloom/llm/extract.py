@@ -64,6 +64,10 @@ ATTRIBUTE = re.compile(r"([A-Za-z_:][\w:.-]*)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([
 NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 IN, OUT, NONE = "in", "out", "none"
+#: Where a page marks its article this outweighs all else; where it does not it says nothing.
+PLACES = {IN: 9.0, OUT: -9.0, NONE: 0.0}
+#: Any tag costs so much, one that stands outside of articles up to 1 more.
+TAG_COST = 0.1
 
 
 @dataclass(frozen=True)
@@ -84,7 +88,6 @@ class Weights:
 
     blocks: dict[str, float] = field(default_factory=dict)
     links: dict[bool, float] = field(default_factory=dict)
-    landmarks: dict[str, float] = field(default_factory=dict)
     tags: dict[str, float] = field(default_factory=dict)
 
 
@@ -221,13 +224,11 @@ def weights_of(counts: dict[tuple[str, str, bool], int]) -> Weights:
     for kind, name, _ in counts:
         if kind == "tag":
             inside, outside = counts.get((kind, name, True), 0), counts.get((kind, name, False), 0)
-            tags[name] = -(0.2 + 2 * (outside + 1) / (inside + outside + 2))
+            tags[name] = -(TAG_COST + outside / (inside + outside + 2))
     return Weights(
         # Bounded so that a word counts for something in any block, unless it is a link.
         {name: odds("block", name, -0.9, 4) for name in BLOCKS},
         {linked: odds("link", str(linked), -3, 0) for linked in (True, False)},
-        # Where a page marks its article this outweighs all else; where it does not it says nothing.
-        {IN: 9.0, OUT: -9.0, NONE: 0.0},
         tags,
     )
 
@@ -253,10 +254,10 @@ def main_text(page: str | None, weights: Weights) -> str:
         if p.never:
             scores.append(0.0)
         elif p.text is None:
-            scores.append(weights.tags.get(p.block, -1.2))
+            scores.append(weights.tags.get(p.block, -TAG_COST))
         else:
             place = (IN if p.landmark else OUT) if marked else NONE
-            word = 1.0 + weights.blocks.get(p.block, 0.0) + weights.links.get(p.linked, 0.0) + weights.landmarks[place]
+            word = 1.0 + weights.blocks.get(p.block, 0.0) + weights.links.get(p.linked, 0.0) + PLACES[place]
             scores.append(word * _words(p.text))
     start, end = best_run(scores)
     lines, line = [], []
