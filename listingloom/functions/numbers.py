@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # What a price text may carry around its digits.
-PRICE_MARKS = r"[.,đ₫\s]"
-PRICE_WORDS = ["true", "false", "null"]
+PRICE_NOISE = r"[.,đ₫\s]|true|false|null"
 DECIMAL_TEXT = r"^-?\d+\.?\d*$"
 
 
@@ -32,9 +31,8 @@ def parse_long(
         return column.cast("int").cast("long")
     if isinstance(dtype, T.NumericType):
         return column.try_cast("long")
-    noise = "|".join([PRICE_MARKS, *PRICE_WORDS])
     digits = r"^-?[0-9]+$" if signed else r"^[0-9]+$"
-    cleaned = F.regexp_replace(column.cast("string"), noise, "")
+    cleaned = F.regexp_replace(column.cast("string"), PRICE_NOISE, "")
     return _whole_match(cleaned, digits).try_cast("long")
 
 
@@ -45,6 +43,38 @@ def parse_double(column: Column, dtype: T.DataType | None = None) -> Column:
     return _whole_match(column.cast("string"), DECIMAL_TEXT).try_cast("double")
 
 
+# A number as JSON prints it, and whole thousands grouped by dots.
+NUMBER_TEXT = r"^-?[0-9]+(\.[0-9]+)?([eE][+-]?[0-9]+)?$"
+GROUPED_TEXT = r"^-?[0-9]{1,3}(\.[0-9]{3})+$"
+
+
+def _as_number(text: Column, target: str) -> Column:
+    """A plain number's value; fractions are cut off whole numbers."""
+    return F.coalesce(text.try_cast(target), text.try_cast("double").try_cast(target))
+
+
+def long_by_form(column: Column) -> Column:
+    """Whole number from feed text, read by the form of the text.
+
+    Flags are 1 and 0, numbers with a fraction or an exponent are numbers, all
+    else is shop text. Dots that part groups of three digits are grouping, so
+    ``89000.0`` and ``89.000`` are both 89000; a JSON number with just three
+    decimals cannot be told from that and is taken as grouped.
+    """
+    text = F.trim(column.cast("string"))
+    flag = F.when(F.lower(text) == "true", 1).when(F.lower(text) == "false", 0)
+    plain = text.rlike(NUMBER_TEXT) & ~text.rlike(GROUPED_TEXT)
+    return F.coalesce(
+        flag.cast("long"), F.when(plain, _as_number(text, "long")).otherwise(parse_long(text, signed=True))
+    )
+
+
+def double_by_form(column: Column) -> Column:
+    """Plain or exponent number text as a double."""
+    text = F.trim(column.cast("string"))
+    return F.when(text.rlike(NUMBER_TEXT), text.try_cast("double")).otherwise(parse_double(text))
+
+
 def digits_price(text: Column) -> Column:
     """All digits of a scraped price, whatever stands between them."""
     return F.nullif(F.regexp_replace(text, r"[^0-9]", ""), F.lit("")).try_cast("long")

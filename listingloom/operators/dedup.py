@@ -17,11 +17,11 @@ def dedup_key(
     """What identifies a row within its source: id, else url, else name.
 
     The raw name stands in for names without any key character, so that these
-    do not fall into one group.
+    do not fall into one group. Blank values identify nothing; a row with
+    nothing else has no key.
     """
-    own_id = F.when(F.trim(product_id.cast("string")) != "", product_id.cast("string"))
-    raw_name = F.when(F.trim(product_name) != "", product_name)
-    return F.coalesce(own_id, product_url, name_key, raw_name)
+    parts = (product_id.cast("string"), product_url, name_key, product_name)
+    return F.coalesce(*[F.when(F.trim(part) != "", part) for part in parts])
 
 
 def _best_row(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -36,6 +36,18 @@ def latest_one(
     return _best_row(df, keys, [F.col(time).desc_nulls_last(), *tie_breaks])
 
 
+def latest_or_keyless(
+    df: DataFrame, keys: list[str], key: str, time: str, tie_breaks: list[Column]
+) -> DataFrame:
+    """The newest row per key, and every row whose ``key`` is NULL.
+
+    Rows that nothing identifies are no versions of one thing. They stay out
+    of the window, so their number does not gather in one task either.
+    """
+    known = latest_one(df.where(F.col(key).isNotNull()), keys, time, tie_breaks)
+    return known.unionByName(df.where(F.col(key).isNull()))
+
+
 def latest_all_ties(df: DataFrame, keys: list[str], time: str) -> DataFrame:
     """Every row that carries its key's newest time; rows without a time never do.
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from listingloom.functions.web import non_empty
+from listingloom.operators.dedup import latest_one
 
 # Fixed value: the note on products that cannot be looked up.
 NO_URL_ERROR = "product_url is missing"
@@ -15,13 +16,24 @@ NO_RESPONSE_ERROR = "Flashsale API response timeout or not triggered"
 def enrich_detail(products: DataFrame, details: DataFrame, key: str = "product_url") -> DataFrame:
     """Products with the outcome of their detail lookup.
 
-    ``details`` has one row per looked-up key: ``has_response, error,
+    ``details`` has a row per lookup of a key: ``has_response, error,
     buffer_value, total_sold, detail_crawl_time``; both values NULL means that
-    the answer was empty. Fields a lookup did not bring keep the product's own
-    value.
+    the answer was empty. Of several lookups of one key the newest counts, so
+    products stay one row each. Fields a lookup did not bring keep the
+    product's own value.
     """
-    looked_up = details.withColumn("_found", F.lit(True)).withColumnRenamed(key, "_key")
-    joined = products.join(looked_up, non_empty(products[key]) == looked_up["_key"], "left")
+    values = ["has_response", "error", "buffer_value", "total_sold", "detail_crawl_time"]
+    newest = latest_one(
+        details.where(non_empty(F.col(key)).isNotNull()),
+        [key],
+        "detail_crawl_time",
+        [F.col(c).asc_nulls_last() for c in ("error", "has_response", "buffer_value", "total_sold")],
+    )
+    looked_up = newest.select(F.col(key).alias("_key"), *values, F.lit(True).alias("_found"))
+    asked = non_empty(products[key]).isNotNull()
+    # Products without a key have nothing to look for and would all meet in one task.
+    found = products.where(asked).join(looked_up, F.col(key) == F.col("_key"), "left")
+    joined = found.unionByName(products.where(~asked), allowMissingColumns=True)
     status = (
         F.when(non_empty(F.col(key)).isNull(), "missing_product_url")
         .when(F.col("_found").isNull(), "not_attempted")

@@ -12,8 +12,9 @@ from pyspark.sql import types as T
 
 from listingloom import schemas
 from listingloom.functions.names import product_key
-from listingloom.functions.numbers import parse_double, parse_long
+from listingloom.functions.numbers import double_by_form, long_by_form, parse_double, parse_long
 from listingloom.operators.project import field_type
+from listingloom.sources.feeds import CORRUPT
 
 log = logging.getLogger(__name__)
 
@@ -79,12 +80,12 @@ def _typed(path: str | None, found: T.DataType | None, target: T.DataType) -> Co
     if path is None or found is None or isinstance(found, T.NullType):
         return F.lit(None).cast(target)
     value = F.col(path)
-    if isinstance(target, T.LongType):
-        return parse_long(value, found, signed=True)
-    if isinstance(target, T.IntegerType):
-        return parse_long(value, found, signed=True).try_cast("int")
+    is_text = isinstance(found, T.StringType)
+    if isinstance(target, (T.LongType, T.IntegerType)):
+        whole = long_by_form(value) if is_text else parse_long(value, found, signed=True)
+        return whole.try_cast(target)
     if isinstance(target, T.DoubleType):
-        return parse_double(value, found)
+        return double_by_form(value) if is_text else parse_double(value, found)
     return value.cast("string")
 
 
@@ -107,6 +108,8 @@ def normalize(df: DataFrame, source_name: str, mapping: Mapping, run_ts: str) ->
     out = df.select(
         F.lit(source_name).alias("source_name"),
         *[column.alias(name) for name, column in columns.items()],
+        # Lines that are no record stay in sight until validation.
+        *[CORRUPT for _ in df.columns if _ == CORRUPT],
     )
     return (
         out.withColumn("product_key", product_key(F.col("product_name")))

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from listingloom.sources.feeds import CORRUPT
+
 # What became of a product's detail lookup, by summary column.
 DETAIL_COUNTS = {
     "detail_success": "success",
@@ -27,12 +29,17 @@ def add_validation_errors(
     price: str = "price",
     original_price: str = "original_price",
 ) -> DataFrame:
-    """Adds ``validation_errors``, the list of rules a row breaks (empty if none)."""
+    """Adds ``validation_errors``, the list of rules a row breaks (empty if none).
+
+    A reader's column of unreadable lines, if there, is a rule of its own.
+    """
     rules = {
         "missing_product_name": is_blank(F.col(name)),
         "invalid_price_negative": F.col(price) < 0,
         "invalid_original_price_negative": F.col(original_price) < 0,
     }
+    if CORRUPT in df.columns:
+        rules["malformed_record"] = F.col(CORRUPT).isNotNull()
     broken = [F.when(test, F.lit(label)) for label, test in rules.items()]
     return df.withColumn("validation_errors", F.array_compact(F.array(*broken)))
 

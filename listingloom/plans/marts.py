@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from listingloom.functions.numbers import mean_2dp, percent_2dp
-from listingloom.operators.dedup import latest_one
+from listingloom.operators.dedup import latest_all_ties, latest_one
 
 MEASURES = ["price", "final_price", "discount_percent", "sold_qty"]
 
@@ -75,16 +75,11 @@ def category_performance(
     often as it is mapped. Categories without products are kept.
     """
     in_stock = F.col("stock_available")
-    per_time = (
-        product_snapshot.dropna("any", subset=["product_id", "processed_time"])
-        .groupBy("product_id", "processed_time")
-        .agg(*_sums(), F.bool_or(in_stock).alias("in_stock"), F.bool_or(~in_stock).alias("out_stock"))
-    )
-    kept = [c for c in per_time.columns if c not in ("product_id", "processed_time")]
+    # The newest time alone combines well before the shuffle; only rows that carry it are summed.
     latest = (
-        per_time.groupBy("product_id")
-        .agg(F.max_by(F.struct(*kept), "processed_time").alias("latest"))
-        .select("product_id", "latest.*")
+        latest_all_ties(product_snapshot, ["product_id"], "processed_time")
+        .groupBy("product_id")
+        .agg(*_sums(), F.bool_or(in_stock).alias("in_stock"), F.bool_or(~in_stock).alias("out_stock"))
     )
     known = products.select("product_id").join(latest, "product_id", "left")
     per_product = (
@@ -265,9 +260,10 @@ def top_sold(latest: DataFrame, limit: int | None = None) -> DataFrame:
 
 
 def register_marts(tables: dict[str, DataFrame], tie_breaks: list[Column]) -> None:
-    """Names every mart as a temporary view of the session.
+    """Names every mart as a global view: ``global_temp.<name>`` in all sessions of the application.
 
-    ``tables`` holds the base tables under their names; views stay lazy.
+    ``tables`` holds the base tables under their names; views stay lazy, and
+    registering again replaces a view in one step.
     """
     t = tables
     latest = latest_product_snapshot(t["products"], t["product_snapshot"], tie_breaks)
@@ -289,4 +285,4 @@ def register_marts(tables: dict[str, DataFrame], tie_breaks: list[Column]) -> No
         "vw_top_sold_products": top_sold(latest),
     }
     for name, mart in marts.items():
-        mart.createOrReplaceTempView(name)
+        mart.createOrReplaceGlobalTempView(name)

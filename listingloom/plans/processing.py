@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listingloom.operators import quality, resolve
-from listingloom.operators.dedup import dedup_key, latest_one
+from listingloom.operators.dedup import dedup_key, latest_or_keyless
 from listingloom.operators.normalize import (
     FEED_SCHEMAS,
     MAPPINGS,
@@ -16,8 +16,8 @@ from listingloom.operators.normalize import (
     union_sources,
 )
 from listingloom.sinks import tables
-from listingloom.sources.feeds import find_latest_feeds, read_feed, with_raw_file
-from listingloom.storage import stage
+from listingloom.sources.feeds import CORRUPT, find_latest_feeds, read_feed, with_raw_file
+from listingloom.storage import stage, temporary_stages
 
 KEY = "_dedup_key"
 
@@ -49,15 +49,22 @@ def with_dedup_key(df: DataFrame) -> DataFrame:
     key = dedup_key(
         F.col("product_id"), F.col("product_url"), F.col("product_key"), F.col("product_name")
     )
+    if CORRUPT in df.columns:
+        # What is no record is nobody's newer version.
+        key = F.when(F.col(CORRUPT).isNull(), key)
     return df.withColumn(KEY, key)
 
 
 def latest_products(df: DataFrame) -> DataFrame:
-    """The newest row per source and key; remaining ties by all else that differs."""
+    """The newest row per source and key; remaining ties by all else that differs.
+
+    Rows without a key all stay, for validation to report them.
+    """
     ties = ["product_id", "product_url", "product_name", "price", "original_price", "final_price"]
-    return latest_one(
+    return latest_or_keyless(
         with_dedup_key(df),
         ["source_name", KEY],
+        KEY,
         "crawl_time",
         [F.col(c).asc_nulls_last() for c in [*ties, "crawl_page", "raw_file"]],
     )
@@ -74,6 +81,7 @@ def run(
 
     The raw text is parsed once, into a stored table; the valid rows and the
     flagged ids are stored as well, since several outputs read each of them.
+    These tables go when the outputs are written.
     """
     out = Outputs(
         *[
@@ -81,9 +89,17 @@ def run(
             for name in ("products", "products_by_source", "rejects", "duplicates", "summary")
         ]
     )
+    with temporary_stages(spark):
+        _write_outputs(spark, feeds, out, run_ts, include_exact)
+    return out
+
+
+def _write_outputs(
+    spark: SparkSession, feeds: dict[str, str], out: Outputs, run_ts: str, include_exact: bool
+) -> None:
     everything = stage(read_sources(spark, feeds, run_ts), "canonical")
     checked = stage(quality.add_validation_errors(latest_products(everything)), "checked")
-    valid = quality.valid_rows(checked)
+    valid = quality.valid_rows(checked).drop(CORRUPT)
     rejected = quality.rejected_rows(checked)
 
     flagged = resolve.find_duplicates(valid, [KEY], include_exact)
@@ -93,18 +109,17 @@ def run(
     tables.write_table(products, out.products)
     kept = spark.read.parquet(out.products)
     tables.write_partitioned(kept, out.partitioned)
-    tables.write_report(tables.reject_report(rejected), out.rejects)
-    tables.write_report(tables.duplicate_report(found), out.duplicates)
+    tables.write_report(tables.reject_report(rejected), out.rejects, by="source_name")
+    tables.write_report(tables.duplicate_report(found), out.duplicates, by="source_name")
     counts = quality.stage_counts(everything, valid, kept)
-    summary = tables.run_summary(counts, rejected, run_ts, vars(out))
+    summary = tables.run_summary(counts, rejected, run_ts, vars(out), feeds)
     tables.write_report(summary, out.summary)
-    return out
 
 
 def run_latest(
     spark: SparkSession, raw_root: str, out_dir: str, run_ts: str, include_exact: bool = False
 ) -> Outputs:
-    """The same over the newest feed file of each source below ``raw_root``."""
+    """The same over the newest feed of each source below ``raw_root``."""
     return run(
         spark, find_latest_feeds(spark, raw_root, list(MAPPINGS)), out_dir, run_ts, include_exact
     )

@@ -9,7 +9,6 @@ SOURCES = ["tiki", "phuongnam", "fahasa", "vinabook", "bookbuy"]
 REQUIRED_SOURCES = ["bookbuy", "phuongnam", "tiki", "vinabook"]
 OPTIONAL_SOURCES = ["fahasa"]
 DEFAULT_CATEGORY = "BOOK"
-REPORT_ROWS = 2000
 SAMPLE_ROWS = 5
 
 _TYPES = {
@@ -41,16 +40,18 @@ PRODUCT = _struct(
     """
 )
 
-# One flat record per product, as the capture side writes it.
+# One flat record per product, as the capture side writes it. Scalars are read as
+# text: shops print numbers as numbers, decimals, flags or words, and a typed
+# reader would make NULL of what does not fit.
 FLAT_FEED = _struct(
     """
     source_name string, standard_category string, source_category_id string,
     source_category_name string, source_parent_category_name string,
     source_category_url string, product_id string, product_name string,
-    price bigint, original_price bigint, discount bigint,
-    rating_average double, review_count bigint, sold_qty bigint,
-    stock_available boolean, product_url string, image_url string,
-    crawl_page int, crawl_time string
+    price string, original_price string, discount string,
+    rating_average string, review_count string, sold_qty string,
+    stock_available string, product_url string, image_url string,
+    crawl_page string, crawl_time string
     """
 )
 
@@ -58,7 +59,7 @@ CATALOG_PRODUCT = _struct(
     """
     product_id string, product_name string, product_price string,
     product_finalprice string, discount string, sold_qty string,
-    stock_available int, product_url string, image_src string,
+    stock_available string, product_url string, image_src string,
     detail_status string, detail_error string, detail_crawl_time string
     """
 )
@@ -80,11 +81,11 @@ CATALOG_FEED = _struct(
 # One listing page as the shop's API returns it.
 LISTING_ITEM = _struct(
     """
-    id bigint, name string, price bigint, original_price bigint,
-    discount bigint, rating_average double, review_count bigint,
+    id string, name string, price string, original_price string,
+    discount string, rating_average string, review_count string,
     url_path string, thumbnail_url string
     """,
-    quantity_sold=_struct("value bigint"),
+    quantity_sold=_struct("value string"),
 )
 LISTING_PAGE = T.StructType([T.StructField("data", T.ArrayType(T.StringType()))])
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from listingloom import schemas
 
@@ -25,47 +26,74 @@ def write_partitioned(df: DataFrame, path: str, by: str = "source_name") -> None
     df.hint("rebalance", F.col(by)).write.mode("overwrite").partitionBy(by).parquet(path)
 
 
-def reject_report(rejected: DataFrame, rows: int = schemas.REPORT_ROWS) -> DataFrame:
-    """The first rejected rows in a fixed order, at most ``rows``."""
-    report = rejected.select(*schemas.REJECT_COLUMNS)
-    return report.orderBy("source_name", "product_id", "product_name", "price").limit(rows)
+def reject_report(rejected: DataFrame) -> DataFrame:
+    """All rejected rows with the rules they break."""
+    return rejected.select(*schemas.REJECT_COLUMNS)
+
+
+def duplicate_report(found: DataFrame) -> DataFrame:
+    """All duplicates."""
+    return found.select(*schemas.DUPLICATE_COLUMNS)
 
 
-def duplicate_report(found: DataFrame, rows: int = schemas.REPORT_ROWS) -> DataFrame:
-    """The first duplicates in a fixed order, at most ``rows``."""
-    report = found.select(*schemas.DUPLICATE_COLUMNS)
+def report_head(report: DataFrame, rows: int) -> DataFrame:
+    """The first rows of a report in a fixed order, to be shown."""
     return report.orderBy("source_name", "product_id", "product_name", "price").limit(rows)
 
 
-def write_report(report: DataFrame, path: str) -> None:
-    """A bounded report as JSON lines; an empty one is an empty folder."""
-    report.write.mode("overwrite").json(path)
+def write_report(report: DataFrame, path: str, by: str | None = None) -> None:
+    """A whole report as JSON lines, in a folder per value of ``by`` if given."""
+    if by is None:
+        report.write.mode("overwrite").json(path)
+    else:
+        report.hint("rebalance", F.col(by)).write.mode("overwrite").partitionBy(by).json(path)
 
 
-def run_summary(counts: DataFrame, rejected: DataFrame, run_ts: str, outputs: dict[str, str]) -> DataFrame:
-    """One row about a run: totals, counts per source and stage, output paths.
+ALL_SOURCES = "all sources"
 
-    ``counts`` is the stage-count table, a row per source.
+
+def run_summary(
+    counts: DataFrame,
+    rejected: DataFrame,
+    run_ts: str,
+    outputs: dict[str, str],
+    source_files: dict[str, str],
+) -> DataFrame:
+    """A row per source about a run, and one for all sources.
+
+    ``counts`` is the stage-count table, ``rejected`` the rejected rows with
+    their errors, ``source_files`` the feed that each source was read from.
     """
-    stages = ["before_validate", "after_validate", "after_dedup"]
-    bad = rejected.agg(F.count(F.lit(1)).alias("bad_products"))
-    per_source = F.when(F.col("source_name").isNotNull(), F.struct("source_name", *stages))
-    totals = counts.unionByName(bad, allowMissingColumns=True).agg(
-        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in (*stages, "bad_products")],
-        # One entry per feed.
-        F.sort_array(F.collect_list(per_source)).alias("source_counts"),
+    malformed = F.array_contains("validation_errors", "malformed_record")
+    bad = rejected.groupBy("source_name").agg(
+        F.count(F.lit(1)).alias("bad_products"), F.count_if(malformed).alias("malformed_records")
+    )
+    numbers = ["before_validate", "after_validate", "after_dedup", "bad_products", "malformed_records"]
+    totals = (
+        counts.unionByName(bad, allowMissingColumns=True)
+        .rollup("source_name")
+        .agg(
+            F.grouping("source_name").alias("is_total"),
+            *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in numbers],
+        )
     )
-    paths = F.create_map(*[F.lit(x) for item in outputs.items() for x in item])
+
+    def as_map(names: dict[str, str]) -> Column:
+        pairs = [F.lit(x) for item in names.items() for x in item]
+        return F.create_map(*pairs).cast("map<string,string>")
+
     return totals.select(
         F.lit(run_ts).alias("processed_at"),
         F.lit("pyspark").alias("engine"),
+        F.when(F.col("is_total") == 1, ALL_SOURCES).otherwise(F.col("source_name")).alias("source_name"),
+        as_map(source_files)[F.col("source_name")].alias("source_file"),
         F.col("before_validate").alias("total_before_validate"),
         F.col("after_validate").alias("total_valid_before_dedup"),
         F.col("after_dedup").alias("total_after_dedup"),
         "bad_products",
+        "malformed_records",
         (F.col("after_validate") - F.col("after_dedup")).alias("duplicate_products"),
-        "source_counts",
-        paths.alias("outputs"),
+        as_map(outputs).alias("outputs"),
     )
 
 
@@ -82,16 +110,23 @@ def publish_table(spark: SparkSession, name: str, path: str) -> DataFrame:
     return spark.table(name)
 
 
-def publish_external_table(spark: SparkSession, name: str, path: str) -> DataFrame:
-    """The same as an external table of the session's catalog; dropping the
-    table leaves the folder. A folder with partitions has them registered."""
+def publish_external_table(
+    spark: SparkSession, name: str, path: str, schema: T.StructType = schemas.PRODUCT
+) -> DataFrame:
+    """The same as an external table of the session's catalog, for other sessions.
+
+    The table has the columns of ``schema`` whatever files it points at, and
+    dropping it leaves the folder. A table that exists is pointed at the new
+    folder in one step, so its readers never miss it.
+    """
     if not path:
         raise ValueError("no folder to publish")
-    folder = re.sub(r"^s3://", "s3a://", path)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.catalog.createTable(name, path=folder, source="parquet")
-    if any(column.isPartition for column in spark.catalog.listColumns(name)):
-        spark.catalog.recoverPartitions(name)
+    folder = re.sub(r"^s3://", "s3a://", path).replace("'", "\\'")
+    if spark.catalog.tableExists(name):
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
+        spark.catalog.refreshTable(name)
+    else:
+        spark.catalog.createTable(name, path=folder, source="parquet", schema=schema)
     return spark.table(name)
 
 

@@ -63,12 +63,32 @@ def latest_feed_file(files: DataFrame, by: list[str] | None = None) -> DataFrame
     return files.groupBy(*(by or [])).agg(newest)
 
 
+def feed_entries(files: DataFrame, root: str) -> DataFrame:
+    """Feeds below ``root/<source>/`` with the time of their newest part.
+
+    A feed is the entry directly below its source's folder: one file, or a
+    folder with all the parts that a distributed writer left.
+    """
+    steps = F.split(below(root), "/")
+    base = F.expr("left(path, length(path) - length(_below))")
+    return (
+        files.withColumn("_below", below(root))
+        .where(F.size(steps) > 1)
+        .select(
+            steps[0].alias("source_name"),
+            F.concat(base, steps[0], F.lit("/"), steps[1]).alias("path"),
+            "modificationTime",
+        )
+        .groupBy("source_name", "path")
+        .agg(F.max("modificationTime").alias("modificationTime"))
+    )
+
+
 def find_latest_feeds(
     spark: SparkSession, root: str, sources: list[str]
 ) -> dict[str, str]:
-    """Newest feed file of each source that has any, below ``root/<source>/``."""
-    source = F.substring_index(below(root), "/", 1)
-    files = list_feed_files(spark, root).withColumn("source_name", source)
-    newest = latest_feed_file(files.filter(F.col("source_name").isin(sources)), ["source_name"])
+    """Newest feed of each source that has any, below ``root/<source>/``."""
+    feeds = feed_entries(list_feed_files(spark, root), root)
+    newest = latest_feed_file(feeds.filter(F.col("source_name").isin(sources)), ["source_name"])
     # At most one row per known source.
     return {row["source_name"]: row["path"] for row in newest.collect()}

@@ -23,6 +23,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 VOID_TAGS = set("area base br col embed hr img input link meta source track wbr".split())
 # Tags that a new one of the same kind closes when the page left them open.
 SELF_CLOSING = set("li p tr td th option dt dd".split())
+CARDS_AT_ONCE = 4096
 STEP = re.compile(r"([a-z0-9]*)((?:\.[\w-]+)*)(?:\[([\w-]+)(?:\*=['\"]?([^'\"\]]*)['\"]?)?\])?$")
 
 
@@ -125,11 +126,13 @@ def _matching(nodes: list[_Node], selector: list[list[tuple]]):
 
 
 def _text(node: _Node, gap: str) -> str:
-    pieces = [
-        child.strip() if isinstance(child, str) else _text(child, gap)
-        for child in node.children
-        if isinstance(child, str) or child.tag not in ("script", "style")
-    ]
+    pieces, waiting = [], [node]
+    while waiting:
+        at = waiting.pop()
+        if isinstance(at, str):
+            pieces.append(at.strip())
+        elif at is node or at.tag not in ("script", "style"):
+            waiting.extend(reversed(at.children))
     return gap.join(piece for piece in pieces if piece)
 
 
@@ -171,21 +174,28 @@ def extract_cards(
         hits = {sel: next(_matching(nodes, steps), None) for sel, steps in selectors.items()}
         return [_value(hits[sel] if sel else card, attr) for sel, attr in parts]
 
+    def card_batch(batch: pa.RecordBatch, page_rows: list[int], cells: list[tuple]) -> pa.RecordBatch:
+        kept = [batch.column(name).take(pa.array(page_rows, pa.int64())) for name in keep]
+        columns = list(zip(*cells)) or [()] * (len(parts) + 1)
+        return pa.RecordBatch.from_arrays(
+            kept
+            + [pa.array(columns[0], pa.int32())]
+            + [pa.array(column, pa.string()) for column in columns[1:]],
+            names=[*keep, "pos", *spec.fields],
+        )
+
     def batches(page_batches):
         for batch in page_batches:
             page_rows, cells = [], []
-            for row, markup in enumerate(batch.column(html).to_pylist()):
-                for pos, card in enumerate(cards_of(markup)):
+            # One page at a time is text, and cards leave the task every few thousand.
+            for row, markup in enumerate(batch.column(html)):
+                for pos, card in enumerate(cards_of(markup.as_py())):
                     page_rows.append(row)
                     cells.append((pos, *values_of(card)))
-            kept = [batch.column(name).take(pa.array(page_rows, pa.int64())) for name in keep]
-            columns = list(zip(*cells)) or [()] * (len(parts) + 1)
-            yield pa.RecordBatch.from_arrays(
-                kept
-                + [pa.array(columns[0], pa.int32())]
-                + [pa.array(column, pa.string()) for column in columns[1:]],
-                names=[*keep, "pos", *spec.fields],
-            )
+                    if len(cells) == CARDS_AT_ONCE:
+                        yield card_batch(batch, page_rows, cells)
+                        page_rows, cells = [], []
+            yield card_batch(batch, page_rows, cells)
 
     kept_types = [f"`{name}` {pages.schema[name].dataType.simpleString()}" for name in keep]
     field_types = [f"`{name}` string" for name in spec.fields]

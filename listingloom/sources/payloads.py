@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from listingloom import schemas
 from listingloom.functions.categories import classify_category
+from listingloom.functions.numbers import double_by_form, long_by_form
 from listingloom.functions.web import non_empty
+from listingloom.storage import stage
 
 
 def listing_products(
@@ -48,12 +50,12 @@ def listing_products(
         "source_parent_category_name",
         F.col("item.id").alias("product_id"),
         F.col("item.name").alias("product_name"),
-        F.col("item.price").alias("price"),
-        F.col("item.original_price").alias("original_price"),
-        F.col("item.discount").alias("discount"),
-        F.col("item.rating_average").alias("rating_average"),
-        F.col("item.review_count").alias("review_count"),
-        F.col("item.quantity_sold.value").alias("sold_qty"),
+        long_by_form(F.col("item.price")).alias("price"),
+        long_by_form(F.col("item.original_price")).alias("original_price"),
+        long_by_form(F.col("item.discount")).alias("discount"),
+        double_by_form(F.col("item.rating_average")).alias("rating_average"),
+        long_by_form(F.col("item.review_count")).alias("review_count"),
+        long_by_form(F.col("item.quantity_sold.value")).alias("sold_qty"),
         F.concat(F.lit(site.rstrip("/") + "/"), path).alias("product_url"),
         F.col("item.thumbnail_url").alias("image_url"),
         "crawl_page",
@@ -85,19 +87,65 @@ def flatten_category_tree(nodes: DataFrame) -> DataFrame:
 
     ``nodes`` holds ``category_id, category_name, url_key, parent_id``; roots
     have no parent. Nodes without id or address key are walked through but not
-    returned.
+    returned. The tree is walked level by level, each level stored, until one
+    is empty; an id that an earlier level had is not walked again, so cycles
+    end and no depth is too deep.
     """
-    return nodes.sparkSession.sql(
-        """
-        WITH RECURSIVE tree (category_id, category_name, url_key, parent_name, depth) AS (
-            SELECT category_id, category_name, url_key, CAST(NULL AS STRING), 0
-            FROM {nodes} WHERE parent_id IS NULL
-            UNION ALL
-            SELECT n.category_id, n.category_name, n.url_key, t.category_name, t.depth + 1
-            FROM {nodes} n JOIN tree t ON n.parent_id = t.category_id
+    columns = ["category_id", "category_name", "url_key", "parent_name", "depth"]
+    level = stage(
+        nodes.where("parent_id is null").select(
+            *columns[:3], F.lit(None).cast("string").alias("parent_name"), F.lit(0).alias("depth")
+        ),
+        "tree-level",
+    )
+    found = seen = level
+    depth = 0
+    while not level.isEmpty():
+        depth += 1
+        above = level.select(
+            F.col("category_id").alias("parent_id"), F.col("category_name").alias("parent_name")
+        ).distinct()
+        below = (
+            nodes.join(above, "parent_id")
+            .join(seen.select("category_id"), "category_id", "left_anti")
+            .select(*columns[:4], F.lit(depth).alias("depth"))
         )
-        SELECT category_id, category_name, url_key, parent_name, depth FROM tree
-        WHERE category_id IS NOT NULL AND url_key IS NOT NULL AND url_key <> ''
-        """,
-        nodes=nodes,
+        level = stage(below, "tree-level")
+        found = seen = stage(found.unionByName(level), "tree-found") if depth % 16 == 0 else found.unionByName(level)
+    return found.where("category_id is not null and url_key is not null and url_key <> ''")
+
+
+def nested_categories(payloads: DataFrame, body: str) -> DataFrame:
+    """Parent-linked rows of category payloads whose ``children`` hold more of them.
+
+    A payload is one category or an array of them, each with ``id, name,
+    url_key`` and ``children``. Every level is split off as text and stored,
+    so categories may nest as deep as they like. The result is what
+    :func:`flatten_category_tree` takes.
+    """
+    text = F.trim(F.col(body))
+    level = payloads.select(
+        F.explode(
+            F.when(text.startswith("["), F.from_json(text, "array<string>")).otherwise(F.array(text))
+        ).alias("node"),
+        F.lit(None).cast("string").alias("parent_id"),
     )
+    found = None
+    while True:
+        rows = stage(
+            level.where(F.col("node").isNotNull()).select(
+                F.get_json_object("node", "$.id").alias("category_id"),
+                F.get_json_object("node", "$.name").alias("category_name"),
+                F.get_json_object("node", "$.url_key").alias("url_key"),
+                "parent_id",
+                F.get_json_object("node", "$.children").alias("children"),
+            ),
+            "tree-payload",
+        )
+        found = rows if found is None else found.unionByName(rows)
+        level = rows.select(
+            F.explode(F.from_json("children", "array<string>")).alias("node"),
+            F.col("category_id").alias("parent_id"),
+        )
+        if rows.isEmpty():
+            return found.drop("children")

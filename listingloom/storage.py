@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 _local_folders: dict[str, str] = {}
+_collecting: list[list[str]] = []
 
 
 def work_dir(spark: SparkSession, label: str) -> str:
@@ -37,4 +40,25 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     target = work_dir(spark, label)
     df.write.mode("errorifexists").parquet(target)
+    if _collecting:
+        _collecting[-1].append(target)
     return spark.read.schema(df.schema).parquet(target)
+
+
+@contextmanager
+def temporary_stages(spark: SparkSession) -> Iterator[None]:
+    """Deletes the tables staged inside when it ends.
+
+    For plans that write all their results before they return; a frame that is
+    still to be read must not rest on these tables.
+    """
+    made: list[str] = []
+    _collecting.append(made)
+    try:
+        yield
+    finally:
+        _collecting.remove(made)
+        hadoop = spark._jvm.org.apache.hadoop.fs
+        for folder in made:
+            path = hadoop.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

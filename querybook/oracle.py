@@ -377,7 +377,7 @@ ORACLE: dict[str, str] = {
         from part""",
     "listing_api_explode": f"""
         with {LINES} select 'BOOK' as standard_category, cast(doc_id as varchar) as source_category_id,
-               lang as source_category_name, doc_id * 100000 + i as product_id, md5(line) as name_md5,
+               lang as source_category_name, cast(doc_id * 100000 + i as varchar) as product_id, md5(line) as name_md5,
                cast(length(line) as bigint) as price, cast(length(line) + 1 as bigint) as original_price,
                i % 50 as discount, cast(i % 5 + 0.5 as double) as rating_average, i as review_count,
                case when i % 3 = 0 then cast(length(line) as bigint) end as sold_qty,
@@ -491,14 +491,18 @@ ORACLE: dict[str, str] = {
     # --- deduplication, validation, counts ---
     "dedup_key": f"""
         select p_partkey,
-               case p_partkey % 5 when 0 then cast(p_partkey as varchar) when 3 then {key('p_name')}
-                    when 4 then '漢字' else '/p/' || p_partkey end as dedup_key
+               case p_partkey % 7 when 0 then cast(p_partkey as varchar) when 1 then '/p/' || p_partkey
+                    when 2 then '/p/' || p_partkey when 4 then '漢字' when 5 then null
+                    else {key('p_name')} end as dedup_key
         from part""",
     "latest_per_source_key": f"""
-        with {EVENTS} select source_name, product_id, event_id, value, crawl_time
+        with {EVENTS}, given as (
+            select * replace (case when event_id % 10 = 0 then null when event_id % 3 = 0 then 'hot'
+                                   else product_id end as product_id) from crawled)
+        select source_name, product_id, event_id, value, crawl_time
         from (select *, row_number() over (partition by source_name, product_id
-                     order by crawl_time desc, event_id) as rn from crawled)
-        where rn = 1""",
+                     order by crawl_time desc, event_id) as rn from given)
+        where rn = 1 or product_id is null""",
     "first_wins_dedup": """
         select doc_id, source, n_chars
         from (select *, row_number() over (partition by text order by doc_id) as rn from documents)
@@ -513,8 +517,7 @@ ORACLE: dict[str, str] = {
         where validation_errors <> ''""",
     "reject_report": f"""
         with {ACCOUNTS} select source_name, product_id, product_name, price, validation_errors
-        from checked where validation_errors <> ''
-        order by source_name, product_id, product_name, price limit 2000""",
+        from checked where validation_errors <> ''""",
     "data_quality_report": f"""
         with {ACCOUNTS},
         r as (select * replace (case when cast(product_id as bigint) % 11 <> 0
@@ -536,13 +539,17 @@ ORACLE: dict[str, str] = {
                count(*) filter (value >= 20 and event_type <> 'error') as after_dedup
         from events group by 1""",
     "run_summary": f"""
-        select '{RUN_TS}' as processed_at, 'pyspark' as engine, count(*) as total_before_validate,
+        select '{RUN_TS}' as processed_at, 'pyspark' as engine,
+               coalesce(event_type, 'all sources') as source_name,
+               case event_type when 'click' then 'raw/click/1.jsonl' when 'view' then 'raw/view/7.jsonl' end
+                   as source_file,
+               count(*) as total_before_validate,
                count(*) filter (value >= 20) as total_valid_before_dedup,
                count(*) filter (value >= 20 and event_type <> 'error') as total_after_dedup,
                count(*) filter (value < 20) as bad_products,
-               count(*) filter (value >= 20 and event_type = 'error') as duplicate_products,
-               cast(count(distinct event_type) as integer) as sources
-        from events""",
+               count(*) filter (value < 5) as malformed_records,
+               count(*) filter (value >= 20 and event_type = 'error') as duplicate_products
+        from events group by rollup (event_type)""",
     "feed_totals": """
         select event_type, cast(cast(ts as date) as varchar) as run_id, count(*) as total_products
         from events group by 1, 2""",
@@ -594,6 +601,7 @@ ORACLE: dict[str, str] = {
                          coalesce(strftime(newest, '%Y-%m-%d %H:%M:%S'), 'none') from f""",
     "write_single_parquet": "select doc_id, source, lang, n_chars, md5(text) as text_md5 from documents",
     "write_partitioned_parquet": "select doc_id, source, lang, n_chars, md5(text) as text_md5 from documents",
+    "publish_external_table": "select event_id, event_type, user_id, value from events",
     "publish_table": "select event_id, event_type, user_id, value from events",
     "describe_table": """
         select cast(row_number() over () - 1 as integer) as position, column_name,
@@ -634,9 +642,22 @@ ORACLE: dict[str, str] = {
     "duplicate_report": f"""
         with {FLAGGED} select source_name, product_id, source_name as product_name, price,
                '{RUN_TS}' as processed_time
-        from offers where (source_name, product_id) in (select (source_name, product_id) from flagged)
-        order by source_name, product_id, product_name, price limit 2000""",
+        from offers where (source_name, product_id) in (select (source_name, product_id) from flagged)""",
     # --- the whole run ---
+    "raw_feed_forms": """
+        select cast(p_partkey as varchar) as item,
+               case p_partkey % 7 when 2 then p_partkey * 1000 + 500 when 3 then (p_partkey % 900 + 1) * 1000
+                    else p_partkey end as price,
+               case p_partkey % 3 when 0 then 7 when 1 then 1 else 0 end::bigint as stock
+        from part where p_partkey % 7 < 5
+        union all select 'invalid_price_negative', count(*), null from part where p_partkey % 7 = 5 having count(*) > 0
+        union all select 'malformed_record', count(*), null from part where p_partkey % 7 = 6 having count(*) > 0
+        union all select 'missing_product_name', count(*), null from part where p_partkey % 7 = 6 having count(*) > 0""",
+    "latest_raw_folder": """
+        select 'vinabook' as source_name, cast(p_partkey as varchar) as product_id, p_partkey + 1 as price,
+               'b.jsonl' as feed from part
+        union all
+        select 'bookbuy', cast(p_partkey as varchar), p_partkey + 1000000001, 'b.jsonl' from part""",
     "process_end_to_end": f"""
         with raw as (
             select (['tiki', 'phuongnam', 'fahasa', 'vinabook', 'bookbuy'])[
@@ -675,3 +696,19 @@ ORACLE: dict[str, str] = {
         from latest
         where not exists (select 1 from flagged f where f.source_name = latest.source_name and f.id = latest.id)""",
 }
+
+# A view's rows are those of its mart.
+ORACLE |= {
+    view: ORACLE[mart]
+    for view, mart in {
+        "vw_category_product_counts": "category_product_counts",
+        "vw_dm_category_performance": "category_performance",
+        "vw_dm_pipeline_health_daily": "health_daily",
+        "vw_pipeline_quality_runs": "quality_runs",
+        "vw_pipeline_failure_rate": "failure_rate",
+        "vw_dm_price_daily": "price_daily",
+        "vw_latest_product_snapshot": "latest_one",
+        "vw_top_discount_products": "top_discount",
+        "vw_top_sold_products": "top_sold",
+    }.items()
+}

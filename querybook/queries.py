@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -500,7 +501,9 @@ def enrich_detail(t: Tables) -> DataFrame:
         F.date_format(F.max("l_shipdate"), "yyyy-MM-dd").alias("detail_crawl_time"),
     )
     details = details.withColumn("product_url", F.concat(F.lit("/o/"), "l_orderkey")).drop("l_orderkey")
-    return enrich.enrich_detail(orders, details)
+    older = details.withColumns({"error": F.lit("stale"), "detail_crawl_time": F.lit("1900-01-01")})
+    nowhere = details.withColumn("product_url", F.lit(None).cast("string"))
+    return enrich.enrich_detail(orders, details.unionByName(older).unionByName(nowhere))
 
 
 # --- deduplication, validation, counts ----------------------------------------
@@ -509,13 +512,13 @@ def enrich_detail(t: Tables) -> DataFrame:
 @query
 def dedup_key(t: Tables) -> DataFrame:
     part = t.part
-    third = F.col("p_partkey") % 5
-    name = F.when(third == 4, F.lit("漢字")).otherwise(F.col("p_name"))
+    third = F.col("p_partkey") % 7
+    name = F.when(third == 4, F.lit("漢字")).when(third == 5, F.lit("  ")).otherwise(F.col("p_name"))
     return part.select(
         "p_partkey",
         dedup.dedup_key(
             F.when(third == 0, F.col("p_partkey").cast("string")).when(third == 1, F.lit(" ")),
-            F.when(third <= 2, F.concat(F.lit("/p/"), "p_partkey")),
+            F.when(third <= 2, F.concat(F.lit("/p/"), "p_partkey")).otherwise(" "),
             names.product_key(name),
             name,
         ).alias("dedup_key"),
@@ -524,8 +527,14 @@ def dedup_key(t: Tables) -> DataFrame:
 
 @query
 def latest_per_source_key(t: Tables) -> DataFrame:
-    latest = dedup.latest_one(
-        fx.event_feed(t), ["source_name", "product_id"], "crawl_time", [F.col("event_id").asc()]
+    """A third of the rows share one key, a tenth have none and all stay."""
+    event = F.col("event_id")
+    feed = fx.event_feed(t).withColumn(
+        "product_id",
+        F.when(event % 10 == 0, F.lit(None)).when(event % 3 == 0, "hot").otherwise(F.col("product_id")),
+    )
+    latest = dedup.latest_or_keyless(
+        feed, ["source_name", "product_id"], "product_id", "crawl_time", [event.asc()]
     )
     return latest.select("source_name", "product_id", "event_id", "value", "crawl_time")
 
@@ -556,10 +565,10 @@ def rejected_rows(t: Tables) -> DataFrame:
 
 @query
 def reject_report(t: Tables) -> DataFrame:
-    """The bounded report as written and read back."""
+    """The whole report as written by source and read back."""
     rejected = quality.rejected_rows(quality.add_validation_errors(fx.account_feed(t)))
     path = work_dir(t.spark, "rejects")
-    sinks.write_report(sinks.reject_report(rejected), path)
+    sinks.write_report(sinks.reject_report(rejected), path, by="source_name")
     columns = "source_name string, product_id string, product_name string, price bigint, validation_errors array<string>"
     rows = t.spark.read.schema(columns).json(path)
     return rows.select("source_name", "product_id", "product_name", "price", _joined("validation_errors"))
@@ -584,20 +593,21 @@ def stage_counts(t: Tables) -> DataFrame:
 
 @query
 def run_summary(t: Tables) -> DataFrame:
-    """The one-row summary as written and read back."""
+    """The summary as written and read back: a row per source and one for all."""
     events = fx.event_feed(t)
     valid = events.filter(F.col("value") >= 20)
     counts = quality.stage_counts(events, valid, valid.filter(F.col("source_name") != "error"))
     path = work_dir(t.spark, "summary")
-    rejected = events.filter(F.col("value") < 20)
-    sinks.write_report(sinks.run_summary(counts, rejected, fx.RUN_TS, {"products": "p"}), path)
+    malformed = F.when(F.col("value") < 5, F.array(F.lit("malformed_record"))).otherwise(F.array().cast("array<string>"))
+    rejected = events.filter(F.col("value") < 20).withColumn("validation_errors", malformed)
+    files = {"click": "raw/click/1.jsonl", "view": "raw/view/7.jsonl"}
+    sinks.write_report(sinks.run_summary(counts, rejected, fx.RUN_TS, {"products": "p"}, files), path)
     columns = [
-        "processed_at string", "engine string", "total_before_validate bigint",
-        "total_valid_before_dedup bigint", "total_after_dedup bigint", "bad_products bigint",
-        "duplicate_products bigint", "source_counts array<struct<source_name: string>>",
+        "processed_at string", "engine string", "source_name string", "source_file string",
+        "total_before_validate bigint", "total_valid_before_dedup bigint", "total_after_dedup bigint",
+        "bad_products bigint", "malformed_records bigint", "duplicate_products bigint",
     ]
-    rows = t.spark.read.schema(", ".join(columns)).json(path)
-    return rows.withColumn("sources", F.size("source_counts")).drop("source_counts")
+    return t.spark.read.schema(", ".join(columns)).json(path)
 
 
 @query
@@ -666,6 +676,54 @@ def publish_table(t: Tables) -> DataFrame:
     return sinks.publish_table(t.spark, "events_final", path).select("event_id", "event_type", "user_id", "value")
 
 
+@query
+def publish_external_table(t: Tables) -> DataFrame:
+    """Published twice, the second time from another folder, and read by another session."""
+    name = f"events_{uuid.uuid4().hex}"
+    kept = t.events.select("event_id", "event_type", "user_id", "value")
+    for rows in (kept.where("event_id % 2 = 0"), kept):
+        path = work_dir(t.spark, "external")
+        sinks.write_table(rows, path)
+        sinks.publish_external_table(t.spark, name, path, kept.schema)
+    return t.spark.newSession().table(name)
+
+
+def _mart_view(view: str) -> Callable[[Tables], DataFrame]:
+    def read(t: Tables) -> DataFrame:
+        tables = {
+            "categories": fx.categories(t),
+            "product_category_map": fx.product_category_map(t),
+            "products": fx.products(t),
+            "product_snapshot": fx.product_snapshot(t, fx.TIE_BREAKS),
+            "pipeline_runs": fx.pipeline_runs(t),
+            "data_quality_reports": fx.data_quality_reports(t),
+            "rejected_products": fx.rejected_products(t),
+            "pipeline_task_audit": fx.pipeline_task_audit(t),
+        }
+        marts.register_marts(tables, fx.snapshot_ties())
+        return t.spark.newSession().table(f"global_temp.{view}")
+
+    return read
+
+
+#: The nine named views, each with the query that its rows equal.
+MART_VIEWS = {
+    "vw_category_product_counts": "category_product_counts",
+    "vw_dm_category_performance": "category_performance",
+    "vw_dm_pipeline_health_daily": "health_daily",
+    "vw_pipeline_quality_runs": "quality_runs",
+    "vw_pipeline_failure_rate": "failure_rate",
+    "vw_dm_price_daily": "price_daily",
+    "vw_latest_product_snapshot": "latest_one",
+    "vw_top_discount_products": "top_discount",
+    "vw_top_sold_products": "top_sold",
+}
+for _view in MART_VIEWS:
+    _read = _mart_view(_view)
+    _read.__name__ = _view
+    query(_read)
+
+
 @query
 def describe_table(t: Tables) -> DataFrame:
     path = work_dir(t.spark, "published")
@@ -777,3 +835,49 @@ def process_end_to_end(t: Tables) -> DataFrame:
         "source_name", "product_id", "price", "final_price", "product_url",
         F.md5("product_name").alias("name_md5"), "crawl_time", "processed_time",
     )
+
+
+@query
+def raw_feed_forms(t: Tables) -> DataFrame:
+    """Parts as lines with every form of number and some broken ones, through the whole run."""
+    root = work_dir(t.spark, "forms")
+    p, form = F.col("p_partkey"), F.col("p_partkey") % 7
+    price = (
+        F.when(form == 0, p.cast("string"))
+        .when(form == 1, F.concat(p, F.lit(".0")))
+        .when(form == 2, F.concat(p, F.lit(".5e3")))
+        .when(form == 3, F.concat(F.lit('"'), p % 900 + 1, F.lit('.000đ"')))
+        .when(form == 4, F.concat(F.lit('"'), p, F.lit('"')))
+        .otherwise(F.concat(F.lit("-"), p))
+    )
+    stock = F.when(p % 3 == 0, F.lit("7")).when(p % 3 == 1, F.lit("true")).otherwise(F.lit("false"))
+    line = F.concat(
+        F.lit('{"product_id": "'), p, F.lit('", "product_name": "part '), p, F.lit('", "stock_available": '), stock,
+        F.lit(', "price": '), F.when(form == 6, F.lit("")).otherwise(F.concat(price, F.lit("}"))),
+    )
+    feed = f"{root}/raw/vinabook/lines.jsonl"
+    t.part.select(line.alias("value")).repartition(5).write.text(feed)
+    out = processing.run(t.spark, {"vinabook": feed}, f"{root}/out", fx.RUN_TS)
+    products = t.spark.read.parquet(out.products).select(
+        F.col("product_id").alias("item"), "price", F.col("stock_available").cast("bigint").alias("stock")
+    )
+    rejects = t.spark.read.schema("validation_errors array<string>").json(out.rejects)
+    rules = rejects.select(F.explode("validation_errors").alias("item")).groupBy("item")
+    return products.unionByName(rules.agg(F.count(F.lit(1)).alias("price")), allowMissingColumns=True)
+
+
+@query
+def latest_raw_folder(t: Tables) -> DataFrame:
+    """Two feeds of several parts for each of two shops; all parts of the newer one are read."""
+    root = work_dir(t.spark, "folders")
+    for run, step in (("a", 0), ("b", 1)):
+        for source, base in (("vinabook", 0), ("bookbuy", 10**9)):
+            rows = t.part.select(
+                F.col("p_partkey").cast("string").alias("product_id"),
+                F.concat(F.lit("part "), "p_partkey").alias("product_name"),
+                (F.col("p_partkey") + base + step).alias("price"),
+            )
+            rows.repartition(4).write.json(f"{root}/raw/{source}/{run}.jsonl")
+    out = processing.run_latest(t.spark, f"{root}/raw", f"{root}/out", fx.RUN_TS)
+    rows = t.spark.read.parquet(out.products)
+    return rows.select("source_name", "product_id", "price", F.substring_index("raw_file", "/", -1).alias("feed"))

@@ -156,3 +156,14 @@ def test_two_decimal_rounding_goes_away_from_zero(spark):
         numbers.percent_2dp(F.col("p"), F.col("w")).cast("string")
     )
     assert [r[0] for r in frame.collect()] == ["33.33", "66.67", None]
+
+
+def test_numbers_by_form(spark):
+    texts = ["89000", "89000.0", "89.000", "89.000đ", "1.250.000", "1.5e3", "-5", "true", "FALSE", "4.5", "", None, "x",
+             " 12 VND", "99999999999999999999", "9007199254740993"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [tuple(r) for r in df.select(numbers.long_by_form(F.col("t")), numbers.double_by_form(F.col("t"))).collect()]
+    assert [g[0] for g in got] == [
+        89000, 89000, 89000, 89000, 1250000, 1500, -5, 1, 0, 4, None, None, None, None, None, 9007199254740993,
+    ]
+    assert got[5][1] == 1500.0 and got[9][1] == 4.5 and got[7][1] is None

@@ -97,18 +97,18 @@ def test_failure_rate_is_null_without_products(tables):
 
 def test_views_and_top_lists(spark, tables):
     marts.register_marts(tables, [F.col("price").desc()])
-    latest = {r["product_id"]: r for r in spark.table("vw_latest_product_snapshot").collect()}
+    latest = {r["product_id"]: r for r in spark.newSession().table("global_temp.vw_latest_product_snapshot").collect()}
     # of equal times the tie-break decides, and a NULL time only wins alone
     assert latest[1]["price"] == Decimal("30.00") and latest[2]["price"] == Decimal("0.01")
     assert latest[3]["processed_time"] is None and 9 not in latest
-    top = [r["product_id"] for r in spark.table("vw_top_discount_products").collect()]
+    top = [r["product_id"] for r in spark.newSession().table("global_temp.vw_top_discount_products").collect()]
     assert top == [3, 2]
-    assert [r["product_id"] for r in spark.table("vw_top_sold_products").collect()] == [3, 1]
-    limited = marts.top_discount(spark.table("vw_latest_product_snapshot"), limit=1)
+    assert [r["product_id"] for r in spark.newSession().table("global_temp.vw_top_sold_products").collect()] == [3, 1]
+    limited = marts.top_discount(spark.newSession().table("global_temp.vw_latest_product_snapshot"), limit=1)
     assert [r["product_id"] for r in limited.collect()] == [3]
     assert "TakeOrderedAndProject" in limited._jdf.queryExecution().executedPlan().toString()
-    counts = spark.table("vw_category_product_counts").collect()
+    counts = spark.newSession().table("global_temp.vw_category_product_counts").collect()
     assert [(r["category_id"], r["total_products"]) for r in counts] in ([(10, 2), (20, 2)], [(20, 2), (10, 2)])
     for view in ("vw_dm_category_performance", "vw_dm_pipeline_health_daily", "vw_pipeline_quality_runs",
                  "vw_pipeline_failure_rate", "vw_dm_price_daily"):
-        assert spark.table(view).count() > 0
+        assert spark.newSession().table(f"global_temp.{view}").count() > 0

@@ -158,25 +158,63 @@ def test_partitioned_output_and_published_names(spark, tmp_path):
     assert sorted(p.name for p in (tmp_path / "by-source").iterdir() if "=" in p.name) == ["source_name=a", "source_name=b"]
     view = tables.publish_table(spark, "published_view", path)
     assert view.filter("source_name = 'b'").count() == 100
-    table = tables.publish_external_table(spark, "published_table", path)
-    assert table.count() == 1000
-    again = tables.publish_external_table(spark, "published_table", path)
+    first, second = str(tmp_path / "one"), str(tmp_path / "two")
+    tables.write_table(df.limit(10), first)
+    tables.write_table(df, second)
+    table = tables.publish_external_table(spark, "published_table", first, df.schema)
+    assert table.count() == 10
+    again = tables.publish_external_table(spark, "published_table", second, df.schema)
+    assert again.count() == spark.newSession().table("published_table").count() == 1000
     assert [tuple(r) for r in tables.describe_table(again).collect()] == [
         (0, "id", "bigint"), (1, "source_name", "string"),
     ]
     spark.sql("DROP TABLE published_table")
-    assert spark.read.parquet(path).count() == 1000
+    assert spark.read.parquet(second).count() == 1000
     with pytest.raises(ValueError):
         tables.publish_table(spark, "x", "")
 
 
-def test_reports_are_bounded_and_ordered(spark, tmp_path):
-    df = spark.range(50).select(
-        F.lit("s").alias("source_name"), F.lpad(F.col("id").cast("string"), 3, "0").alias("product_id"),
+def test_published_products_have_the_fixed_columns(spark, tmp_path):
+    from listingloom import schemas
+
+    tables.write_table(spark.createDataFrame([("a", 5)], "product_id string, price long"), str(tmp_path / "p"))
+    table = tables.publish_external_table(spark, "published_products", str(tmp_path / "p"))
+    assert table.columns == [f.name for f in schemas.PRODUCT.fields] and len(table.columns) == 24
+    assert [(r["product_id"], r["price"], r["image_url"]) for r in table.collect()] == [("a", 5, None)]
+    spark.sql("DROP TABLE published_products")
+
+
+def test_enrichment_takes_the_newest_lookup(spark):
+    products = spark.createDataFrame(
+        [("/a", None, 1), ("/a", None, 2), (None, None, 3), ("", None, 4)],
+        "product_url string, stock_available int, sold_qty long",
+    )
+    details = spark.createDataFrame(
+        [("/a", True, None, 5, 50, "2024-01-02"), ("/a", True, "old", 0, 0, "2024-01-01"), (None, True, None, 1, 1, "2024-01-03")],
+        "product_url string, has_response boolean, error string, buffer_value long, total_sold long, detail_crawl_time string",
+    )
+    got = sorted((r["product_url"] or "", r["detail_status"], r["sold_qty"]) for r in enrich.enrich_detail(products, details).collect())
+    assert got == [("", "missing_product_url", 3), ("", "missing_product_url", 4), ("/a", "success", 50), ("/a", "success", 50)]
+
+
+def test_rows_that_nothing_identifies_all_stay(spark):
+    df = spark.createDataFrame(
+        [(" ", "", "", " ", "t"), (None, None, None, None, "t"), ("", "", "k", "n", "t"), ("", " ", "k", "n", "u")],
+        "product_id string, product_url string, name_key string, product_name string, time string",
+    )
+    keyed = df.withColumn("key", dedup.dedup_key(*[F.col(c) for c in df.columns[:4]]))
+    got = dedup.latest_or_keyless(keyed, ["key"], "key", "time", [F.col("product_name")])
+    assert sorted((r["key"] or "", r["time"]) for r in got.collect()) == [("", "t"), ("", "t"), ("k", "u")]
+
+
+def test_reports_are_whole_and_heads_ordered(spark, tmp_path):
+    df = spark.range(5000).select(
+        F.lit("s").alias("source_name"), F.lpad(F.col("id").cast("string"), 4, "0").alias("product_id"),
         F.lit("n").alias("product_name"), F.col("id").alias("price"), F.array(F.lit("e")).alias("validation_errors"),
     )
-    tables.write_report(tables.reject_report(df, 7), str(tmp_path / "r"))
-    got = [r["product_id"] for r in spark.read.json(str(tmp_path / "r")).collect()]
-    assert sorted(got) == [f"{i:03}" for i in range(7)]
+    tables.write_report(tables.reject_report(df), str(tmp_path / "r"), by="source_name")
+    assert spark.read.json(str(tmp_path / "r")).count() == 5000
+    got = [r["product_id"] for r in tables.report_head(tables.reject_report(df), 7).collect()]
+    assert got == [f"{i:04}" for i in range(7)]
     tables.write_report(tables.reject_report(df.limit(0)), str(tmp_path / "empty"))
     assert spark.read.text(str(tmp_path / "empty")).count() == 0

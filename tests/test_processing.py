@@ -87,11 +87,13 @@ def test_reports(outputs):
     }
     duplicates = spark.read.json(out.duplicates)
     assert [r["product_name"] for r in duplicates.collect()] == [LONG + " chín"]
-    (summary,) = spark.read.json(out.summary).collect()
+    summaries = {r["source_name"]: r for r in spark.read.json(out.summary).collect()}
+    summary = summaries.pop("all sources")
     assert summary["total_valid_before_dedup"] == 7
+    assert summaries["tiki"]["source_file"].endswith("tiki_raw.jsonl")
     assert (summary["total_after_dedup"], summary["bad_products"], summary["duplicate_products"]) == (6, 3, 1)
-    counts = {c["source_name"]: tuple(c[k] for k in ("before_validate", "after_validate", "after_dedup"))
-              for c in summary["source_counts"]}
+    stages = ("total_before_validate", "total_valid_before_dedup", "total_after_dedup")
+    counts = {name: tuple(r[k] for k in stages) for name, r in summaries.items()}
     assert counts == {"tiki": (4, 2, 2), "phuongnam": (4, 2, 2), "vinabook": (2, 2, 1), "fahasa": (2, 1, 1)}
 
 

@@ -19,7 +19,7 @@ def write(path, *lines):
 def test_jsonl_keeps_broken_lines(spark, tmp_path):
     path = write(tmp_path / "a.jsonl", '{"product_id": "1", "price": 5}', "{broken", '{"product_id": "2"}')
     got = feeds.read_feed(spark, path, schemas.FLAT_FEED).select("product_id", "price", feeds.CORRUPT).collect()
-    assert [tuple(r) for r in got] == [("1", 5, None), (None, None, "{broken"), ("2", None, None)]
+    assert [tuple(r) for r in got] == [("1", "5", None), (None, None, "{broken"), ("2", None, None)]
     assert feeds.CORRUPT not in schemas.FLAT_FEED.names
 
 
@@ -90,9 +90,9 @@ def test_listing_page(spark):
     pages = spark.createDataFrame([(json.dumps(body),), ('{"data": []}',), (None,)], "body string")
     out = payloads.listing_products(pages, "body", "https://t.example/", "tiki", F.lit("now"), F.lit(3))
     got = {r["product_id"]: r for r in out.collect()}
-    assert (got[1]["sold_qty"], got[1]["product_url"], got[1]["crawl_page"]) == (3, "https://t.example/a.html", 3)
-    assert (got[2]["sold_qty"], got[2]["product_url"]) == (None, None)
-    assert json.loads(got[1]["raw"])["extra"] == [1]
+    assert (got["1"]["sold_qty"], got["1"]["product_url"], got["1"]["crawl_page"]) == (3, "https://t.example/a.html", 3)
+    assert (got["2"]["sold_qty"], got["2"]["product_url"]) == (None, None)
+    assert json.loads(got["1"]["raw"])["extra"] == [1]
 
 
 def test_category_tree(spark):
@@ -174,3 +174,37 @@ def test_cards_of_pages_without_markup(spark):
     pages = spark.createDataFrame([(1, None), (2, ""), (3, "<p>")], "page_id bigint, html string")
     spec = html_cards.CardSpec("li a", {"t": ("", "text")})
     assert html_cards.extract_cards(pages, spec, ["page_id"]).collect() == []
+
+
+def test_tree_without_limit_and_with_a_cycle(spark):
+    chain = [(f"n{i}", f"name {i}", f"k{i}", f"n{i - 1}" if i else None) for i in range(150)]
+    cycle = [("a", "A", "a", "n3"), ("b", "B", "b", "a"), ("a", "A", "a", "b")]
+    nodes = spark.createDataFrame(chain + cycle, "category_id string, category_name string, url_key string, parent_id string")
+    got = {(r["category_id"], r["depth"]) for r in payloads.flatten_category_tree(nodes).collect()}
+    assert got == {(f"n{i}", i) for i in range(150)} | {("a", 4), ("b", 5)}
+
+
+def test_children_inside_payloads(spark):
+    body = '[{"id": 1, "name": "x", "url_key": "x", "children": [{"id": 2, "name": "y", "url_key": "", "children": [{"id": 3}]}]}]'
+    df = spark.createDataFrame([(body,), (None,), ('{"id": 9, "name": "z"}',)], "body string")
+    got = sorted((r["category_id"], r["parent_id"], r["url_key"]) for r in payloads.nested_categories(df, "body").collect())
+    assert got == [("1", None, "x"), ("2", "1", ""), ("3", "2", None), ("9", None, None)]
+
+
+def test_deeply_nested_and_large_pages(spark):
+    deep = "<li><a href='/x'>" + "<b>" * 5000 + "name" + "</a></li>"
+    wide = "<ul>" + "<li><a href='/y'>n</a></li>" * 9000 + "</ul>"
+    pages = spark.createDataFrame([(1, deep), (2, wide), (3, None)], "page_id long, html string")
+    spec = html_cards.CardSpec("li a", {"name": ("", "text")})
+    got = html_cards.extract_cards(pages, spec, ["page_id"])
+    assert got.where("page_id = 1").first()["name"] == "name"
+    assert got.where("page_id = 2").agg({"pos": "max"}).first()[0] == 8999
+
+
+def test_a_feed_is_a_file_or_a_folder_of_parts(spark, tmp_path):
+    spark.range(100).selectExpr("cast(id as string) product_id").repartition(4).write.json(str(tmp_path / "tiki" / "one.jsonl"))
+    (tmp_path / "bookbuy").mkdir()
+    (tmp_path / "bookbuy" / "b.jsonl").write_text("{}")
+    found = feeds.find_latest_feeds(spark, str(tmp_path), ["tiki", "bookbuy", "fahasa"])
+    assert {k: v.rsplit("/", 2)[1:] for k, v in found.items()} == {"tiki": ["tiki", "one.jsonl"], "bookbuy": ["bookbuy", "b.jsonl"]}
+    assert feeds.read_feed(spark, found["tiki"], schemas.FLAT_FEED).count() == 100

@@ -22,3 +22,13 @@ def test_cluster_needs_the_setting():
     assert storage.work_dir(_Session("local[2]"), "x") != storage.work_dir(_Session("local[2]"), "x")
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         storage.work_dir(_Session("spark://host:7077"), "x")
+
+
+def test_temporary_stages_go(spark):
+    from pathlib import Path
+
+    with storage.temporary_stages(spark):
+        staged = storage.stage(spark.range(5), "gone")
+        (path,) = {f.rsplit("/", 1)[0].removeprefix("file://") for f in staged.inputFiles()}
+        assert Path(path).exists()
+    assert not Path(path).exists()
