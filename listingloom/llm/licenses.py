@@ -21,6 +21,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from listingloom.storage import stage
+
 UNKNOWN = "unknown"
 LEAST_PROBABILITY = 0.5
 LEAST_COVER = 0.5
@@ -320,7 +322,8 @@ def scan(docs: DataFrame, model: Model | None = None) -> DataFrame:
     Repeated rows are scanned each for itself; NULL and empty texts have no lines.
     Columns other than doc_id and text are ignored.
     """
-    lines = legal_lines(docs).select("doc_id", "line", F.array_join("words", " ").alias("wording"))
+    found = legal_lines(docs).select("doc_id", "line", F.array_join("words", " ").alias("wording"))
+    lines = stage(found, "license-lines")  # The texts are read once for it.
     known = classify(lines.select("wording").distinct(), model or train())
     return lines.join(known, "wording", "inner").select("doc_id", "line", "family", "probability", "cover")
 
