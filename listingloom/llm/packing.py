@@ -31,6 +31,7 @@ SEQUENCE = 4096
 END_ID = 2
 #: Words that a task remembers; beyond them it starts anew.
 REMEMBERED = 200_000
+BIG_ENDIAN = sys.byteorder == "big"
 #: Marks that may close a word and never join its letters in one token.
 MARKS = ".,!?;:$%&#*|\"()=+@-"
 #: The pattern by which the lower-casing tokenizer cuts words.
@@ -46,7 +47,7 @@ class WordIds(dict):
 
     def __init__(self, tokenizer, kind: str) -> None:
         super().__init__()
-        self.tokenizer, self.model = tokenizer, tokenizer.model
+        self.tokenizer, self.tokenize = tokenizer, tokenizer.model.tokenize
         self.code = "H" if kind == "<u2" else "I"
         # The model reads bytes as printable characters; the tokenizer itself says which.
         to_units = tokenizer.pre_tokenizer[1].pre_tokenize_str
@@ -55,19 +56,20 @@ class WordIds(dict):
 
     def packed(self, ids: list[int]) -> bytes:
         found = array(self.code, ids)
-        if sys.byteorder == "big":
+        if BIG_ENDIAN:
             found.byteswap()
         return found.tobytes()
 
     def __missing__(self, word: str) -> bytes:
-        letters = word.rstrip(MARKS)
-        if letters == word and word.isalpha() and max(word) < AFTER_LATIN:
+        if word.isalpha() and (word.isascii() or max(word) < AFTER_LATIN):
             units = word if word.isascii() else word.translate(self.units)
-            found = self.packed([t.id for t in self.model.tokenize(units)])
-        elif letters != word and letters.isalpha():
-            found = self[letters] + self[word[len(letters) :]]
+            found = self.packed([t.id for t in self.tokenize(units)])
         else:
-            found = self.packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
+            letters = word.rstrip(MARKS)
+            if letters != word and letters.isalpha():
+                found = self[letters] + self[word[len(letters) :]]
+            else:
+                found = self.packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
         self[word] = found
         return found
 
