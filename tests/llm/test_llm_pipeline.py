@@ -1,5 +1,6 @@
 """The pipeline's stages against plain recomputation of their decisions."""
 
+import random
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -57,3 +58,38 @@ def test_stages_take_extra_columns_nulls_and_no_rows(spark, sf_dir):
         for name, step in pipeline.STAGES:
             given = stage(step(spark, given, sf_dir), f"odd-{name}")
             assert name == "packing" or given.columns == docs.columns
+
+
+def firsts_of_near_copies(rows, words=5, percent=80):
+    """Smallest id of each group, by comparing all with all."""
+    sets = {}
+    for i, text in rows:
+        own = text.split()
+        sets[i] = {tuple(own[at : at + words]) for at in range(max(len(own) - words + 1, 1))}
+    group = {i: i for i in sets}
+    for a in sets:
+        for b in sets:
+            if a < b and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+                old, new = max(group[a], group[b]), min(group[a], group[b])
+                group = {i: new if g == old else g for i, g in group.items()}
+    return {i for i, g in group.items() if i == g}
+
+
+def test_near_copies_by_five_words_and_four_fifths(spark, sf_dir):
+    pick = random.Random(3)
+    rows = []
+    for n in range(12):
+        text = [f"w{pick.randrange(10**6)}" for _ in range(600)]
+        rows.append((len(rows), " ".join(text)))
+        for edits in (13, 14):  # 0.803 and 0.788 of the shingles
+            copy = list(text)
+            for k in range(edits):
+                copy[20 + 40 * k] = f"x{pick.randrange(10**6)}"
+            rows.append((len(rows), " ".join(copy)))
+        for added in (110, 145, 160):
+            rows.append((len(rows), " ".join([*text, *(f"y{pick.randrange(10**6)}" for _ in range(added))])))
+    rows += [(100 + n, " ".join(f"z{k}" for k in range(9 + n))) for n in range(6)]
+    docs = spark.createDataFrame([(i, t, "en", "a") for i, t in rows], "doc_id long, text string, lang string, source string")
+    kept = {r["doc_id"] for r in pipeline.one_of_each(spark, docs, sf_dir).collect()}
+    assert kept == firsts_of_near_copies(rows)
+    assert kept != firsts_of_near_copies(rows, 4, 85)
