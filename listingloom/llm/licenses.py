@@ -1,6 +1,8 @@
 """Licence statements in documents by a trained paragraph classifier.
 
-A paragraph is a line. Logistic regression over its word n-grams (one to five
+Lines are classified each for itself; then runs of words inside paragraphs (lines up
+to a blank one) are, so that a notice wrapped over lines is found, and headings and
+SPDX identifiers are looked up. Logistic regression over its word n-grams (one to five
 words) names a licence family or none; scores are calibrated by a temperature, and
 what is not likely enough counts as unknown. A prediction stands only if the line
 also holds most of the n-grams of one of the family's template sentences.
@@ -18,7 +20,7 @@ from dataclasses import dataclass
 from functools import cache
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from listingloom.storage import stage
@@ -27,6 +29,10 @@ UNKNOWN = "unknown"
 LEAST_PROBABILITY = 0.5
 LEAST_COVER = 0.5
 LONGEST_GRAM = 5
+#: Words of the runs of a paragraph, which overlap by half. The longest template has less than half of the largest.
+RUNS = (16, 32, 96)
+#: Of related families a paragraph's runs state those whose cover comes this near to the best one's.
+NEAR_BEST = 0.9
 #: Words are runs of letters and digits, joined by single dots and hyphens.
 WORDS = r"[\p{L}\p{N}]+(?:[.-][\p{L}\p{N}]+)*"
 
@@ -117,6 +123,30 @@ TEMPLATES = {
         "Unauthorized copying of this file, via any medium, is strictly prohibited. Proprietary and confidential.",
     ),
 }
+#: Families that share most of their wording, so that a run cut short fits several.
+KIN = {
+    **dict.fromkeys(("GPL-2.0", "GPL-3.0", "LGPL", "AGPL-3.0"), "GNU"),
+    **dict.fromkeys(("MIT", "ISC"), "permission"),
+    **dict.fromkeys(("CC-BY", "CC-BY-SA", "CC-BY-NC", "CC-BY-ND"), "CC"),
+}
+#: How a heading names a family, and its SPDX identifiers, as patterns. A blank stands for a gap between words.
+TITLES = {
+    "Apache-2.0": (r"apache license version 2\.0|apache license 2\.0|apache 2\.0", r"apache-2\.0"),
+    "MIT": ("(?:the )?mit license", "mit"),
+    "GPL-3.0": ("gnu general public license(?: v3| version 3(?: 29 june 2007)?)", r"gpl-3\.0(?:-only|-or-later|\+)?"),
+    "GPL-2.0": ("gnu general public license(?: v2| version 2(?: june 1991)?)", r"gpl-2\.0(?:-only|-or-later|\+)?"),
+    "LGPL": ("gnu (?:lesser|library) general public license(?: version [0-9.]+[^\n]*)?", r"lgpl-[0-9.]+(?:-only|-or-later|\+)?"),
+    "AGPL-3.0": ("gnu affero general public license(?: version 3[^\n]*)?", r"agpl-3\.0(?:-only|-or-later|\+)?"),
+    "BSD": ("(?:the )?(?:new |simplified )?bsd(?: [234][ -]clause)? license", "(?:0bsd|bsd-[1-4]-clause)"),
+    "MPL-2.0": (r"mozilla public license(?: version)? 2\.0", r"mpl-2\.0"),
+    "ISC": ("(?:the )?isc license", "isc"),
+    "Unlicense": ("the unlicense", "unlicense"),
+    "CC0-1.0": (r"cc0 1\.0 universal", r"cc0-1\.0"),
+    "CC-BY": (r"creative commons attribution [1-4]\.0 international(?: public license)?", r"cc-by-[1-4]\.[05]"),
+    "CC-BY-SA": (r"creative commons attribution[ -]sharealike [1-4]\.0 international(?: public license)?", r"cc-by-sa-[1-4]\.[05]"),
+    "CC-BY-NC": (r"creative commons attribution[ -]noncommercial [1-4]\.0 international(?: public license)?", r"cc-by-nc-[1-4]\.[05]"),
+    "CC-BY-ND": (r"creative commons attribution[ -]noderivatives [1-4]\.0 international(?: public license)?", r"cc-by-nd-[1-4]\.[05]"),
+}
 #: Words that licence statements do not go without.
 LEGAL = (
     "license licensed licence licenced licenses unlicense copyright copyrighted rights reserved apache gnu gpl lgpl agpl "
@@ -256,14 +286,18 @@ def grams_of(words: Column) -> Column:
     return F.array_distinct(F.concat(words, *[_runs(words, n) for n in range(2, LONGEST_GRAM + 1)]))
 
 
-def legal_lines(docs: DataFrame) -> DataFrame:
-    """doc_id, line number and words of every line with a legal word; NULL text has none."""
-    legal = F.array(*map(F.lit, LEGAL))
+def _legal_texts(docs: DataFrame) -> DataFrame:
+    """doc_id and text where some part of a legal word occurs."""
     # A cheap look at the whole text first: every legal word shows up when it is cut at all other characters.
     rough = F.split(F.lower("text"), "[^a-z0-9]+")
     parts = sorted({p for w in LEGAL for p in w.split("-")})
-    holds = docs.select("doc_id", "text").where(F.arrays_overlap(rough, F.array(*map(F.lit, parts))))
-    lines = holds.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "content"))
+    return docs.select("doc_id", "text").where(F.arrays_overlap(rough, F.array(*map(F.lit, parts))))
+
+
+def legal_lines(docs: DataFrame) -> DataFrame:
+    """doc_id, line number and words of every line with a legal word; NULL text has none."""
+    legal = F.array(*map(F.lit, LEGAL))
+    lines = _legal_texts(docs).select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "content"))
     return lines.select("doc_id", "line", words_of(F.col("content")).alias("words")).where(
         F.arrays_overlap("words", legal)
     )
@@ -328,13 +362,78 @@ def scan(docs: DataFrame, model: Model | None = None) -> DataFrame:
     return lines.join(known, "wording", "inner").select("doc_id", "line", "family", "probability", "cover")
 
 
+def legal_runs(docs: DataFrame) -> DataFrame:
+    """doc_id, paragraph and words of the overlapping runs with a legal word in paragraphs of several lines."""
+    legal = F.array(*map(F.lit, LEGAL))
+    # Comment marks are no words, so a line of marks alone is blank.
+    paragraphs = _legal_texts(docs).select(
+        "doc_id", F.posexplode(F.split("text", r"\n[^\p{L}\p{N}]*\n")).alias("paragraph", "content")
+    )
+    worded = paragraphs.where(F.trim(F.col("content")).contains("\n")).select(
+        "doc_id", "paragraph", words_of(F.col("content")).alias("all")
+    )
+    count = F.size("all")
+
+    def cut(size: int) -> Column:
+        starts = F.sequence(F.lit(0), F.greatest(count - size // 2 - 1, F.lit(0)), F.lit(size // 2))
+        return F.transform(starts, lambda at: F.slice("all", at + 1, size))
+
+    runs = [cut(size) for size in RUNS]
+    return (
+        worded.where(F.arrays_overlap("all", legal))
+        .select("doc_id", "paragraph", F.explode(F.array_distinct(F.concat(*runs))).alias("words"))
+        .where(F.arrays_overlap("words", legal))
+    )
+
+
+def scan_runs(docs: DataFrame, model: Model | None = None) -> DataFrame:
+    """doc_id, family, probability and cover of the notices that runs of words state, one for each doc_id and family."""
+    found = legal_runs(docs).select("doc_id", "paragraph", F.array_join("words", " ").alias("wording"))
+    runs = stage(found, "license-runs")
+    known = classify(runs.select("wording").distinct(), model or train())
+    kin = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for pair in KIN.items() for x in pair]), F.col("family")), "family")
+    best = (
+        runs.join(known, "wording", "inner")
+        .groupBy("doc_id", "paragraph", "family")
+        .agg(F.max(F.struct("cover", "probability")).alias("best"))
+        .withColumn("most", F.max("best.cover").over(Window.partitionBy("doc_id", "paragraph", kin)))
+        .where(F.col("best.cover") >= NEAR_BEST * F.col("most"))
+    )
+    return best.groupBy("doc_id", "family").agg(F.max("best").alias("best")).select(
+        "doc_id", "family", "best.probability", "best.cover"
+    )
+
+
+def scan_titles(docs: DataFrame) -> DataFrame:
+    """doc_id, family, probability and cover (both 1) of the families that a heading or an SPDX tag names."""
+    gap = r"[^\p{L}\p{N}]+"
+    named = []
+    for family, (title, spdx) in TITLES.items():
+        heading = rf"(?im)^[^\p{{L}}\p{{N}}\n]*(?:(?:licensed|released) under (?:the )?)?(?:{title})[^\p{{L}}\p{{N}}\n]*$"
+        tag = rf"(?im)spdx-license-identifier:(?:[^\n]*[\s(])?{spdx}(?![\w.+-])"
+        states = F.col("text").rlike(heading.replace(" ", gap)) | F.col("text").rlike(tag)
+        named.append(F.when(states, F.lit(family)))
+    found = _legal_texts(docs).select("doc_id", F.explode(F.array_compact(F.array(*named))).alias("family"))
+    return found.select("doc_id", "family", F.lit(1.0).alias("probability"), F.lit(1.0).alias("cover")).distinct()
+
+
 def scan_documents(docs: DataFrame) -> DataFrame:
     """One row per doc_id: families (sorted, joined by a comma), lines that state them, and the weakest evidence.
 
+    A family that no line states by itself counts as one line if a wrapped notice, a heading or a tag does.
     Documents without a licence have an empty ``families``, 0 lines and NULL
     evidence. Repeated ids and rows without id are one row each.
     """
-    found = scan(docs).select("doc_id", "family", "probability", "cover")
+    found = stage(scan(docs).select("doc_id", "family", "probability", "cover"), "license-found")
+    more = (
+        scan_runs(docs)
+        .unionByName(scan_titles(docs))
+        .groupBy("doc_id", "family")
+        .agg(F.max(F.struct("cover", "probability")).alias("best"))
+        .select("doc_id", "family", "best.probability", "best.cover")
+    )
+    stated = found.select(F.col("doc_id").alias("__id"), F.col("family").alias("__family")).distinct()
+    more = more.join(stated, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("family") == F.col("__family")), "left_anti")
     nothing = docs.select(
         "doc_id",
         F.lit(None).cast("string").alias("family"),
@@ -343,6 +442,7 @@ def scan_documents(docs: DataFrame) -> DataFrame:
     )
     return (
         nothing.unionByName(found)
+        .unionByName(more)
         .groupBy("doc_id")
         .agg(
             F.array_join(F.array_sort(F.collect_set("family")), ",").alias("families"),

@@ -195,3 +195,25 @@ def test_each_template_is_found_and_ordinary_sentences_are_not(spark):
     df = spark.createDataFrame([(n, t) for n, (_, t) in enumerate(stated)], "doc_id long, text string")
     got = {r["doc_id"]: r["families"] for r in licenses.scan_documents(df).collect()}
     assert sum(got[n] == f for n, (f, _) in enumerate(stated)) >= len(stated) - 2
+
+
+def test_wrapped_notices_headings_and_tags_are_found(spark):
+    import textwrap
+
+    def wrapped(family, marks="", width=70):
+        text = max(licenses.TEMPLATES[family], key=len)
+        return "\n".join(marks + x for x in ["Some file.", "", *textwrap.wrap(text, width), "", "Code goes on here."])
+
+    cases = [(f, wrapped(f, m, w)) for f in ("GPL-3.0", "GPL-2.0", "BSD", "MIT") for m, w in (("", 70), (" * ", 60), ("# ", 40))]
+    cases += [
+        ("MIT", "MIT License\n\nCopyright (c) 2020 A. Person"),
+        ("Apache-2.0", "                Apache License\n          Version 2.0, January 2004\n".replace(", January 2004", "")),
+        ("Apache-2.0", "# Licensed under the Apache License, Version 2.0"),
+        ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE\n   Version 3, 29 June 2007"),
+        ("GPL-2.0", "// SPDX-License-Identifier: GPL-2.0-or-later"),
+        ("BSD,MIT", "# SPDX-License-Identifier: (MIT OR BSD-3-Clause)"),
+        ("", "She needs a license\nto drive and permission\nto leave, and the rights\nwere reserved for later."),
+    ]
+    df = spark.createDataFrame([(n, t) for n, (_, t) in enumerate(cases)], "doc_id long, text string")
+    got = {r["doc_id"]: r["families"] for r in licenses.scan_documents(df).collect()}
+    assert [got[n] for n in range(len(cases))] == [f for f, _ in cases]
