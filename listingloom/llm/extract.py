@@ -12,7 +12,8 @@ from __future__ import annotations
 import html
 import re
 from collections import Counter
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from itertools import accumulate
 from math import log
 
 import pandas as pd
@@ -106,21 +107,57 @@ def _never(name: str, attrs: str, in_landmark: bool) -> bool:
             return True
         if key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
             return True
-        if key in ("class", "id") and name not in LANDMARKS:
-            for word in value.split():
+        if key in ("class", "id") and name in LANDMARKS:
+            if {"comment", "comments"} & {p.lower() for p in NAME_PART.findall(value)}:
+                return True
+    return False
+
+
+def _named(name: str, attrs: str) -> bool:
+    """Whether a class or id names the element as no part of an article, which its content can outweigh."""
+    if not attrs or name in ("html", "body") or name in LANDMARKS:
+        return False
+    for key, *values, _ in ATTRIBUTE.findall(attrs):
+        if key.lower() in ("class", "id"):
+            for word in "".join(values).split():
                 parts = [p.lower() for p in NAME_PART.findall(word)]
                 if not NEVER_NAMES.isdisjoint(parts) and not {"with", "has", "no"} & set(parts):
                     return True
-        elif key in ("class", "id") and {"comment", "comments"} & {p.lower() for p in NAME_PART.findall(value)}:
-            return True
     return False
 
 
+def _shut_out(out: list[Piece], named: list[tuple[int, int]], landmarks: list[tuple[int, int]]) -> list[Piece]:
+    """``out`` with the pieces of elements in ``named`` as never.
+
+    Spared are elements with most words of the landmark that has the most, or of
+    the page if no landmark has any: those are wrappers named after what they also
+    hold.
+    """
+    sums = list(accumulate((0 if p.never or p.text is None else _words(p.text) for p in out), initial=0))
+
+    def words(span: tuple[int, int]) -> int:
+        return sums[span[1]] - sums[span[0]]
+
+    first, last = max(landmarks, key=words, default=(0, 0))
+    if not words((first, last)):
+        first, last = 0, len(out)
+    change = [0] * (len(out) + 1)
+    for start, end in named:
+        shared = (max(start, first), min(end, last))
+        if shared[0] >= shared[1] or 2 * words(shared) <= words((first, last)):
+            change[start] += 1
+            change[end] -= 1
+    return [replace(p, never=True) if depth and not p.never else p for p, depth in zip(out, accumulate(change))]
+
+
 def pieces_of(page: str) -> list[Piece]:
     """The page in order. Unclosed elements end with their parents; stray closing tags count as tags only."""
     out: list[Piece] = []
     open_names: list[str] = []
     open_never: list[bool] = []
+    open_at: list[tuple[int, bool]] = []
+    named: list[tuple[int, int]] = []
+    landmarks: list[tuple[int, int]] = []
     state = {"never": 0, "landmark": 0, "link": 0}
     blocks = ["div"]
 
@@ -130,6 +167,11 @@ def pieces_of(page: str) -> list[Piece]:
             state["never"] -= open_never.pop()
             state["landmark"] -= name in LANDMARKS
             state["link"] -= name == "a"
+            start, shuts = open_at.pop()
+            if shuts:
+                named.append((start, len(out)))
+            if name in LANDMARKS and not state["landmark"]:
+                landmarks.append((start, len(out)))
             if name in BLOCKS:
                 blocks.pop()
 
@@ -179,6 +221,7 @@ def pieces_of(page: str) -> list[Piece]:
             add(None, breaks, name)
             continue
         open_names.append(name)
+        open_at.append((len(out), _named(name, found["attrs"])))
         open_never.append(_never(name, found["attrs"], state["landmark"] > 0))
         state["never"] += open_never[-1]
         state["landmark"] += name in LANDMARKS
@@ -189,7 +232,8 @@ def pieces_of(page: str) -> list[Piece]:
         if name in RAW:
             close = re.compile(rf"</{name}(?=[\s/>])", re.I).search(page, at)
             at = close.start() if close else end
-    return out
+    pop(0)
+    return _shut_out(out, named, landmarks) if named else out
 
 
 def _words(text: str) -> int:

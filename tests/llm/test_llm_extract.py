@@ -27,6 +27,20 @@ def test_marked_article(weights):
     assert main_text(PAGE, Weights()) == TEXT
 
 
+@pytest.mark.parametrize("name", ["site right-sidebar", "sidebar-layout", "nav-open", "layout--right-rail", "hfeed widget"])
+def test_wrappers_named_after_what_they_also_hold(weights, name):
+    side = f"<div class='sidebar'>{'Side words here. ' * 3}</div>"
+    teaser = "<div class='related'><article><p>Read this too</p></article></div>"
+    body = "<h1>Head</h1><p>First words of the text.</p><div class='promo'>Buy</div><p>Last words.</p>"
+    for first, last in (("<article>", "</article>"), ("<main>", "</main>")):
+        page = f"<body><div id=page class='{name}'>{first}{body}{last}{side}{teaser}</div></body>"
+        assert main_text(page, weights) == "Head\nFirst words of the text.\nLast words."
+    inside = f"<article><div class='{name}'>{body}</div></article>"
+    assert main_text(inside, weights) == "Head\nFirst words of the text.\nLast words."
+    unmarked = f"<div class='{name}'><p>{'Long text of many words. ' * 9}</p>{side}</div>"
+    assert main_text(unmarked, weights) == ("Long text of many words. " * 9).strip()
+
+
 def test_unmarked_page_gets_its_best_run(weights):
     page = (
         "<body><ul><li><a href=1>one</a><li><a href=2>two</a></ul><div id=main><h2>Title here</h2><p>Some long text of "
