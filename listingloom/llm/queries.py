@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listingloom.llm import chat, extract, forest, jaccard, language, licenses, mixing, packing, quality, topk
+from listingloom.llm import (
+    chat,
+    divergence,
+    extract,
+    filters,
+    forest,
+    jaccard,
+    language,
+    licenses,
+    mixing,
+    packing,
+    quality,
+    topk,
+    winnow,
+)
 from listingloom.llm.common import held_out, table
 from listingloom.llm.oracle import ORACLE
 
@@ -93,6 +107,19 @@ def op10_forest_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op11_benchmark_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = winnow.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("spans")
+
+
+def op12_filter_interaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filters.audit_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_language_id": op2_language_id,
@@ -104,4 +131,7 @@ QUERIES = {
     "op8_ball_tree_top_k": op8_ball_tree_top_k,
     "op9_html_extraction": op9_html_extraction,
     "op10_forest_near_duplicates": op10_forest_near_duplicates,
+    "op11_benchmark_winnowing": op11_benchmark_winnowing,
+    "op12_filter_interaction": op12_filter_interaction,
+    "op13_source_divergence": op13_source_divergence,
 }

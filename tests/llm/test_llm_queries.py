@@ -25,5 +25,5 @@ def test_query_equals_sql(spark, duck, sf_dir, name):
 def test_every_operator_is_registered():
     names = contract.queries()
     assert "pipeline" in names
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
