@@ -34,6 +34,8 @@ LEAST_DOCUMENTS = 3
 TOP_TERMS = 200
 #: Entries that a task counts before it hands them on, and postings of the index taken at once.
 HELD, CHUNK = 200_000, 500_000
+#: Files of the table of groups.
+GROUP_FILES = 16
 PAIRS = "lang string, source string, item string, value long"
 
 
@@ -162,23 +164,23 @@ def group_sizes(docs: DataFrame, index: DataFrame) -> DataFrame:
         )
     )
     base = F.when(F.col("terms") > 0, share(none, F.col("words"), F.col("terms")))
-    return stage(sizes.withColumn("base", base), "divergence-groups")
+    # A row per source: a few files are enough, whatever the number of partitions.
+    return stage(sizes.withColumn("base", base).coalesce(GROUP_FILES), "divergence-groups")
 
 
 def shares(index: DataFrame, groups: DataFrame) -> DataFrame:
-    """Stored lang, term, source, p, base and q (the language's share) of every posting."""
+    """lang, term, source, p, base and q (the language's share) of every posting.
+
+    Not stored: working a share out again is cheaper than writing and reading it.
+    """
     rows = index.select("lang", "term", "total", F.inline("postings"))
-    joined = rows.join(groups, ["lang", "source"], "inner")
-    return stage(
-        joined.select(
-            "lang",
-            "term",
-            "source",
-            share(F.col("count"), F.col("words"), F.col("terms")).alias("p"),
-            "base",
-            share(F.col("total"), F.col("lang_words"), F.col("terms")).alias("q"),
-        ),
-        "divergence-shares",
+    return rows.join(groups, ["lang", "source"], "inner").select(
+        "lang",
+        "term",
+        "source",
+        share(F.col("count"), F.col("words"), F.col("terms")).alias("p"),
+        "base",
+        share(F.col("total"), F.col("lang_words"), F.col("terms")).alias("q"),
     )
 
 
