@@ -116,6 +116,16 @@ def price_daily(
     categories: DataFrame, product_category_map: DataFrame, product_snapshot: DataFrame
 ) -> DataFrame:
     """Products and average measures per day and category, in that order."""
+    per_category = daily_sums(product_category_map, product_snapshot)
+    return (
+        per_category.join(categories.select("category_id", "category_name").distinct(), "category_id")
+        .select("snapshot_date", "category_id", "category_name", "total_products", *_averages())
+        .orderBy("snapshot_date", "category_name")
+    )
+
+
+def daily_sums(product_category_map: DataFrame, product_snapshot: DataFrame) -> DataFrame:
+    """Products, and each measure's sum and number of values, per ``snapshot_date`` and ``category_id``."""
     per_day = product_snapshot.groupBy(
         "product_id", F.to_date("processed_time").alias("snapshot_date")
     ).agg(*_sums())
@@ -127,16 +137,11 @@ def price_daily(
         for m in MEASURES
         for part in ("sum", "n")
     ]
-    per_category = (
+    return (
         per_day.join(weights, "product_id")
         .groupBy("snapshot_date", "category_id")
         .agg(F.count(F.lit(1)).alias("total_products"), *weighted)
     )
-    return (
-        per_category.join(categories.select("category_id", "category_name").distinct(), "category_id")
-        .select("snapshot_date", "category_id", "category_name", "total_products", *_averages())
-        .orderBy("snapshot_date", "category_name")
-    )
 
 
 def rejected_daily(rejected_products: DataFrame) -> DataFrame:

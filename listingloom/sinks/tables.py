@@ -52,9 +52,27 @@ def write_report(report: DataFrame, path: str, by: str | None = None) -> None:
 ALL_SOURCES = "all sources"
 
 
+COUNTS = ["before_validate", "after_validate", "after_dedup", "bad_products", "malformed_records"]
+
+
+def count_table(
+    spark: SparkSession, read: dict[str, int], checked: dict[str, dict[str, int]], kept: dict[str, dict[str, int]]
+) -> DataFrame:
+    """A row per source that has any rows, from counts that the run's writes brought along."""
+    rows = [
+        {"source_name": source, "before_validate": number, **checked[source], **kept[source]}
+        for source, number in read.items()
+        if number or any(checked[source].values())
+    ]
+    return spark.createDataFrame(
+        [tuple(row[c] for c in ("source_name", *COUNTS)) for row in rows],
+        "source_name string, " + ", ".join(f"{c} bigint" for c in COUNTS),
+    )
+
+
 def run_summary(
     counts: DataFrame,
-    rejected: DataFrame,
+    rejected: DataFrame | None,
     run_ts: str,
     outputs: dict[str, str],
     source_files: dict[str, str],
@@ -62,20 +80,18 @@ def run_summary(
     """A row per source about a run, and one for all sources.
 
     ``counts`` is the stage-count table, ``rejected`` the rejected rows with
-    their errors, ``source_files`` the feed that each source was read from.
+    their errors, ``source_files`` the feed that each source was read from. Without
+    ``rejected``, ``counts`` has all five numbers.
     """
-    malformed = F.array_contains("validation_errors", "malformed_record")
-    bad = rejected.groupBy("source_name").agg(
-        F.count(F.lit(1)).alias("bad_products"), F.count_if(malformed).alias("malformed_records")
-    )
-    numbers = ["before_validate", "after_validate", "after_dedup", "bad_products", "malformed_records"]
-    totals = (
-        counts.unionByName(bad, allowMissingColumns=True)
-        .rollup("source_name")
-        .agg(
-            F.grouping("source_name").alias("is_total"),
-            *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in numbers],
+    if rejected is not None:
+        malformed = F.array_contains("validation_errors", "malformed_record")
+        bad = rejected.groupBy("source_name").agg(
+            F.count(F.lit(1)).alias("bad_products"), F.count_if(malformed).alias("malformed_records")
         )
+        counts = counts.unionByName(bad, allowMissingColumns=True)
+    totals = counts.rollup("source_name").agg(
+        F.grouping("source_name").alias("is_total"),
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in COUNTS],
     )
 
     def as_map(names: dict[str, str]) -> Column:

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from listingloom.sources.json_array import read_json_array
+
 CORRUPT = "_corrupt_record"
 # Side files that share a feed's folder.
 SIDE_FILE_NAMES = ["summary", "stats"]
@@ -16,17 +18,20 @@ def read_feed(
 ) -> DataFrame:
     """Rows of a ``.jsonl`` file (one object a line) or of a JSON array file.
 
-    With a schema there is no inference pass over the file; lines that do not
-    fit keep what parsed and show up whole in ``_corrupt_record``. JSON Lines
-    split across tasks; an array file is one task, so large feeds should come
-    as lines.
+    With a schema there is no inference pass over the file; records that do not
+    fit keep what parsed and show up whole in ``_corrupt_record``. Both forms are
+    split across tasks, array files by :mod:`json_array`. Without a schema an array
+    file is inferred and read by one task.
     """
+    is_lines = path.rstrip("/").endswith(".jsonl")
+    if schema is not None and not is_lines:
+        return read_json_array(spark, path, schema, CORRUPT).drop("raw_file")
     reader = spark.read.option("columnNameOfCorruptRecord", CORRUPT)
     if schema is not None:
         # A new schema object: StructType.add would change the caller's.
         fields = [*schema.fields, T.StructField(CORRUPT, T.StringType())]
         reader = reader.schema(T.StructType(fields))
-    if path.rstrip("/").endswith(".jsonl"):
+    if is_lines:
         return reader.option("lineSep", "\n").json(path)
     return reader.option("multiline", True).json(path)
 

@@ -23,6 +23,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 VOID_TAGS = set("area base br col embed hr img input link meta source track wbr".split())
 # Tags that a new one of the same kind closes when the page left them open.
 SELF_CLOSING = set("li p tr td th option dt dd".split())
+HIDDEN = {"script", "style"}
+TEXTS = ("text", "tight_text")
 CARDS_AT_ONCE = 4096
 STEP = re.compile(r"([a-z0-9]*)((?:\.[\w-]+)*)(?:\[([\w-]+)(?:\*=['\"]?([^'\"\]]*)['\"]?)?\])?$")
 
@@ -43,136 +45,199 @@ class CardSpec:
     link_fallback: str | None = None
 
 
-class _Node:
-    __slots__ = ("tag", "attrs", "classes", "parent", "children")
+Step = tuple[str, frozenset, str | None, str]
 
-    def __init__(self, tag: str, attrs: dict[str, str], parent: "_Node | None" = None) -> None:
-        self.tag, self.attrs, self.parent = tag, attrs, parent
-        self.classes = frozenset(attrs["class"].split()) if "class" in attrs else frozenset()
-        self.children: list[_Node | str] = []
 
+def _step(text: str) -> Step:
+    tag, classes, attr, part = STEP.match(text).groups()
+    return tag, frozenset(filter(None, classes.split("."))), attr, part or ""
 
-class _TreeBuilder(HTMLParser):
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
-        self.root = self.at = _Node("", {})
-
-    def handle_starttag(self, tag, attrs):
-        if tag in SELF_CLOSING and self.at.tag == tag:
-            self.at = self.at.parent
-        node = _Node(tag, {k: v or "" for k, v in attrs}, self.at)
-        self.at.children.append(node)
-        if tag not in VOID_TAGS:
-            self.at = node
-
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-        if tag not in VOID_TAGS:
-            self.at = self.at.parent
 
-    def handle_endtag(self, tag):
-        open_node = self.at
-        while open_node.parent is not None and open_node.tag != tag:
-            open_node = open_node.parent
-        if open_node.parent is not None:
-            self.at = open_node.parent
+class _Selectors:
+    """All selectors of a page read as one automaton over the open elements.
 
-    def handle_data(self, data):
-        self.at.children.append(data)
+    Each step of each alternative is a bit. An element's mask has the bits of all
+    steps up to which it and the elements around it match, so an element is
+    selected if its own last step fits and the one before is in its parent's mask.
+    """
 
+    def __init__(self, selectors: list[str]) -> None:
+        self.steps: list[tuple[Step, int, int, int]] = []
+        bit = 1
+        for number, selector in enumerate(selectors):
+            for option in selector.split(","):
+                names, before = option.split(), 0
+                for at, name in enumerate(names):
+                    last = 1 << number if at == len(names) - 1 else 0
+                    self.steps.append((_step(name), bit, before, last))
+                    before, bit = bit, bit << 1
 
-def _step(text: str) -> tuple:
-    tag, classes, attr, part = STEP.match(text).groups()
-    return tag, frozenset(filter(None, classes.split("."))), attr, part or ""
+    def enter(self, tag: str, attrs: dict[str, str], mask: int) -> tuple[int, int]:
+        """Mask of an element in one with ``mask``, and the selectors that it is selected by, as bits."""
+        classes = frozenset(attrs["class"].split()) if "class" in attrs else frozenset()
+        inner, selected = mask, 0
+        for (name, needed, attr, part), bit, before, last in self.steps:
+            if before & mask != before or (name and name != tag) or not needed <= classes:
+                continue
+            if attr and not (attr in attrs and part in attrs[attr]):
+                continue
+            inner |= bit
+            selected |= last
+        return inner, selected
 
 
-def _selector(text: str) -> list[list[tuple]]:
-    """Alternatives of a selector, each its steps from the outermost inwards."""
-    return [[_step(step) for step in option.split()] for option in text.split(",")]
+class _Element:
+    """An element that something is wanted of; ``text`` is set when it closes."""
 
+    __slots__ = ("attrs", "first", "level", "pieces", "is_text")
 
-def _fits(node: _Node, step: tuple) -> bool:
-    tag, classes, attr, part = step
-    return (
-        (not tag or node.tag == tag)
-        and classes <= node.classes
-        and (not attr or (attr in node.attrs and part in node.attrs[attr]))
-    )
+    def __init__(self, attrs: dict[str, str], first: int, level: int, is_text: bool) -> None:
+        self.attrs, self.first, self.level, self.is_text = attrs, first, level, is_text
+        self.pieces: list[str] = []
 
 
-def _selected(node: _Node, option: list[tuple]) -> bool:
-    if not _fits(node, option[-1]):
-        return False
-    ancestors = option[:-1]
-    while ancestors and node.parent is not None:
-        node = node.parent
-        if _fits(node, ancestors[-1]):
-            ancestors = ancestors[:-1]
-    return not ancestors
+class _Card:
+    __slots__ = ("element", "hits")
 
+    def __init__(self, element: _Element, fields: int) -> None:
+        self.element = element
+        self.hits: list[_Element | None] = [None] * fields
 
-def _below(node: _Node) -> list[_Node]:
-    """All nodes below one, in page order."""
-    found, waiting = [], [node]
-    while waiting:
-        at = waiting.pop()
-        found.append(at)
-        waiting.extend(c for c in reversed(at.children) if not isinstance(c, str))
-    return found[1:]
 
+class _CardReader(HTMLParser):
+    """Reads the cards of a page in one pass, without a tree of it.
 
-def _matching(nodes: list[_Node], selector: list[list[tuple]]):
-    return (n for n in nodes if any(_selected(n, option) for option in selector))
+    Kept are the open elements, how many of each name are open (so that a stray
+    closing tag looks at none of them), and per field the open cards that still
+    wait for it: the first element selected below them serves all of these at once.
+    So the time is that of the page, however its tags nest or fail to.
 
+    Selector 0 finds the cards, selector 1 the fallback's links, the others the
+    fields. Text is gathered for the selectors whose bits are in ``texts``. With
+    ``only`` the cards are the elements of these numbers instead.
+    """
 
-def _text(node: _Node, gap: str) -> str:
-    pieces, waiting = [], [node]
-    while waiting:
-        at = waiting.pop()
-        if isinstance(at, str):
-            pieces.append(at.strip())
-        elif at is node or at.tag not in ("script", "style"):
-            waiting.extend(reversed(at.children))
-    return gap.join(piece for piece in pieces if piece)
+    def __init__(self, selectors: _Selectors, fields: int, texts: int, only: list[int] | None = None) -> None:
+        super().__init__(convert_charrefs=True)
+        self.selectors, self.fields, self.wanted = selectors, fields, texts
+        self.only = None if only is None else set(only)
+        self.cards: dict[int, _Card] = {}
+        self.fallback: list[int] = []
+        self.count = self.level = 0
+        self.texts: list[tuple[int, str]] = []
+        self.waiting: list[list[_Card]] = [[] for _ in range(fields)]
+        self.open_names: dict[str, int] = {}
+        # Name, number, mask, card and element of each open element; the page is the first.
+        page = _Element({}, 0, 0, bool(texts & 1))
+        card = self._card(0, page) if self.only and 0 in self.only else None
+        self.open: list[tuple[str, int, int, _Card | None, _Element | None]] = [("", 0, 0, card, page)]
+
+    def _card(self, number: int, element: _Element) -> _Card:
+        card = self.cards[number] = _Card(element, self.fields)
+        for waiting in self.waiting:
+            waiting.append(card)
+        return card
 
+    def handle_starttag(self, tag, attrs):
+        if tag in SELF_CLOSING and self.open[-1][0] == tag:
+            self._close()
+        attrs = {k: v or "" for k, v in attrs}
+        self.count += 1
+        number = self.count
+        mask, selected = self.selectors.enter(tag, attrs, self.open[-1][2])
+        if tag in HIDDEN:
+            self.level += 1
+        element = card = None
+        if selected >> 2 or selected & 1 or (self.only and number in self.only):
+            is_card = number in self.only if self.only is not None else bool(selected & 1)
+            is_text = bool((selected & ~1 | is_card) & self.wanted)
+            element = _Element(attrs, len(self.texts), self.level, is_text)
+            for field in range(self.fields):
+                if selected >> (2 + field) & 1 and self.waiting[field]:
+                    for waiting in self.waiting[field]:
+                        waiting.hits[field] = element
+                    self.waiting[field] = []
+            if is_card:
+                card = self._card(number, element)
+        if selected & 2:
+            self.fallback.append(self.open[-3][1] if len(self.open) > 2 else 0)
+        self.open.append((tag, number, mask, card, element))
+        self.open_names[tag] = self.open_names.get(tag, 0) + 1
+        if tag in VOID_TAGS:
+            self._close()
 
-def _third_ancestor(node: _Node) -> _Node:
-    for _ in range(3):
-        node = node.parent or node
-    return node
+    def handle_startendtag(self, tag, attrs):
+        self.handle_starttag(tag, attrs)
+        if tag not in VOID_TAGS:
+            self._close()
 
+    def handle_endtag(self, tag):
+        if self.open_names.get(tag):
+            while self.open[-1][0] != tag:
+                self._close()
+            self._close()
 
-def _value(node: _Node | None, attr: str) -> str | None:
-    if node is None:
+    def handle_data(self, data):
+        piece = data.strip()
+        if piece:
+            self.texts.append((self.level, piece))
+
+    def _close(self) -> None:
+        tag, _, _, card, element = self.open.pop()
+        if tag:
+            self.open_names[tag] -= 1
+        if element is not None and element.is_text:
+            # What is in a script or style is no text, unless of that element itself.
+            element.pieces = [text for level, text in self.texts[element.first :] if level == element.level]
+        if card is not None:
+            for waiting in self.waiting:
+                if waiting and waiting[-1] is card:
+                    waiting.pop()
+        if tag in HIDDEN:
+            self.level -= 1
+
+    def finish(self) -> None:
+        self.close()
+        while self.open:
+            self._close()
+
+
+def _value(element: _Element | None, attr: str) -> str | None:
+    if element is None:
         return None
-    if attr in ("text", "tight_text"):
-        return _text(node, " " if attr == "text" else "")
-    return node.attrs.get(attr)
+    if attr in TEXTS:
+        return (" " if attr == "text" else "").join(element.pieces)
+    return element.attrs.get(attr)
 
 
 def extract_cards(
     pages: DataFrame, spec: CardSpec, keep: list[str], html: str = "html"
 ) -> DataFrame:
     """One row per card: the page's ``keep`` columns, the position, the raw fields."""
-    card_selector = _selector(spec.cards)
-    fallback = _selector(spec.link_fallback) if spec.link_fallback else None
-    selectors = {sel: _selector(sel) for sel, _ in spec.fields.values() if sel}
-    parts = list(spec.fields.values())
-
-    def cards_of(markup: str | None) -> list[_Node]:
-        builder = _TreeBuilder()
-        builder.feed(markup or "")
-        builder.close()
-        nodes = _below(builder.root)
-        cards = list(_matching(nodes, card_selector))
-        if not cards and fallback:
-            cards = [_third_ancestor(link) for link in _matching(nodes, fallback)]
-        return cards
-
-    def values_of(card: _Node) -> list[str | None]:
-        nodes = _below(card)
-        hits = {sel: next(_matching(nodes, steps), None) for sel, steps in selectors.items()}
-        return [_value(hits[sel] if sel else card, attr) for sel, attr in parts]
+    names = list(dict.fromkeys(sel for sel, _ in spec.fields.values() if sel))
+    # An empty alternative selects nothing.
+    selectors = _Selectors([spec.cards, spec.link_fallback or "", *names])
+    parts = [(names.index(sel) if sel else None, attr) for sel, attr in spec.fields.values()]
+
+    of_text = [0 if at is None else 2 + at for at, attr in parts if attr in TEXTS]
+    wanted = sum(1 << bit for bit in set(of_text))
+
+    def read(markup: str, only: list[int] | None = None) -> _CardReader:
+        reader = _CardReader(selectors, len(names), wanted, only)
+        reader.feed(markup)
+        reader.finish()
+        return reader
+
+    def cards_of(markup: str | None) -> list[_Card]:
+        reader = read(markup or "")
+        if reader.cards or not reader.fallback:
+            return list(reader.cards.values())
+        # No card: the links' third ancestors, which a second reading knows by number.
+        cards = read(markup or "", reader.fallback).cards
+        return [cards[number] for number in reader.fallback]
+
+    def values_of(card: _Card) -> list[str | None]:
+        return [_value(card.element if at is None else card.hits[at], attr) for at, attr in parts]
 
     def card_batch(batch: pa.RecordBatch, page_rows: list[int], cells: list[tuple]) -> pa.RecordBatch:
         kept = [batch.column(name).take(pa.array(page_rows, pa.int64())) for name in keep]

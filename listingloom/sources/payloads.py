@@ -82,37 +82,67 @@ def catalog_envelope(responses: DataFrame, body: str, source_name: str, run_id:
     )
 
 
+def category_depths(nodes: DataFrame) -> DataFrame:
+    """``category_id`` and ``depth`` (steps to the nearest root) of every category below a root.
+
+    Pointers double: after round k each open category points at its ancestors
+    2^k steps up. Where such an ancestor's depth is known, so is its own; all
+    others take over the pointers of the ancestors they point at. So a chain of n
+    categories takes log n rounds. What is open after pointers longer than there
+    are categories hangs on a cycle, or on a parent that is no category, and has no
+    depth. Each round is stored, as the next one reads it twice.
+    """
+    ids = nodes.where("category_id is not null")
+    known = stage(
+        ids.where("parent_id is null").select("category_id", F.lit(0).cast("long").alias("depth")).distinct(), "tree-depths"
+    )
+    links = ids.where("parent_id is not null and parent_id <> category_id")
+    jumps = stage(
+        links.select("category_id", F.col("parent_id").alias("above"))
+        .distinct()
+        .join(known.select("category_id"), "category_id", "left_anti"),
+        "tree-jumps",
+    )
+    most = ids.select("category_id").distinct().count()
+    step = 1
+    while step <= most and not jumps.isEmpty():
+        up = known.select(F.col("category_id").alias("above"), (F.col("depth") + step).alias("depth"))
+        reached = stage(
+            jumps.join(up, "above", "inner").groupBy("category_id").agg(F.min("depth").alias("depth")), "tree-reached"
+        )
+        still = jumps.join(reached.select("category_id"), "category_id", "left_anti")
+        further = jumps.select(F.col("category_id").alias("above"), F.col("above").alias("further"))
+        jumps = stage(
+            still.join(further, "above", "inner").select("category_id", F.col("further").alias("above")).distinct(),
+            "tree-jumps",
+        )
+        known = known.unionByName(reached)
+        step *= 2
+    return known
+
+
 def flatten_category_tree(nodes: DataFrame) -> DataFrame:
     """Every category reachable from a root, with its parent's name and depth.
 
     ``nodes`` holds ``category_id, category_name, url_key, parent_id``; roots
     have no parent. Nodes without id or address key are walked through but not
-    returned. The tree is walked level by level, each level stored, until one
-    is empty; an id that an earlier level had is not walked again, so cycles
-    end and no depth is too deep.
+    returned. A category that is given several parents belongs to those nearest
+    to a root; cycles end and no depth is too deep.
     """
-    columns = ["category_id", "category_name", "url_key", "parent_name", "depth"]
-    level = stage(
-        nodes.where("parent_id is null").select(
-            *columns[:3], F.lit(None).cast("string").alias("parent_name"), F.lit(0).alias("depth")
-        ),
-        "tree-level",
+    depths = stage(category_depths(nodes), "tree-known")
+    above = depths.select(F.col("category_id").alias("parent_id"), F.col("depth").alias("parent_depth"))
+    own = F.coalesce(F.col("parent_depth") + 1, F.lit(0).cast("long"))
+    placed = (
+        nodes.join(depths, "category_id", "inner")
+        .join(above, "parent_id", "left")
+        .where((F.col("depth") == own) & (F.col("parent_id").isNull() | F.col("parent_depth").isNotNull()))
+    )
+    names = placed.select(F.col("category_id").alias("parent_id"), F.col("category_name").alias("parent_name")).distinct()
+    return (
+        placed.where("url_key is not null and url_key <> ''")
+        .join(names, "parent_id", "left")
+        .select("category_id", "category_name", "url_key", "parent_name", F.col("depth").cast("int").alias("depth"))
     )
-    found = seen = level
-    depth = 0
-    while not level.isEmpty():
-        depth += 1
-        above = level.select(
-            F.col("category_id").alias("parent_id"), F.col("category_name").alias("parent_name")
-        ).distinct()
-        below = (
-            nodes.join(above, "parent_id")
-            .join(seen.select("category_id"), "category_id", "left_anti")
-            .select(*columns[:4], F.lit(depth).alias("depth"))
-        )
-        level = stage(below, "tree-level")
-        found = seen = stage(found.unionByName(level), "tree-found") if depth % 16 == 0 else found.unionByName(level)
-    return found.where("category_id is not null and url_key is not null and url_key <> ''")
 
 
 def nested_categories(payloads: DataFrame, body: str) -> DataFrame:

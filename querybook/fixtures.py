@@ -260,3 +260,19 @@ def shop_pages(t: Tables, shop: str) -> DataFrame:
         F.col("doc_id").cast("int").alias("crawl_page"),
         F.lit("2024-05-31T12:00:00").alias("crawl_time"),
     )
+
+
+def write_array_files(df: DataFrame, path: str) -> None:
+    """Rows as JSON arrays, one file per task, whatever its size; no array is held in memory."""
+    import pyarrow as pa
+
+    def lay_out(batches):
+        opening = "["
+        for batch in batches:
+            texts = batch.column(0).to_pylist()
+            if texts:
+                yield pa.RecordBatch.from_arrays([pa.array([opening + texts[0], *("," + t for t in texts[1:])])], ["value"])
+                opening = ","
+        yield pa.RecordBatch.from_arrays([pa.array(["]" if opening == "," else "[]"])], ["value"])
+
+    df.select(F.to_json(F.struct(*df.columns)).alias("value")).mapInArrow(lay_out, "value string").write.text(path)

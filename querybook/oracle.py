@@ -352,6 +352,9 @@ ORACLE: dict[str, str] = {
     # --- sources ---
     "scan_jsonl": "select *, true as has_lineage, false as is_corrupt from part",
     "scan_json_array": "select * from part",
+    "scan_json_array_ranges": """
+        select doc_id, md5(text) as text_md5, lang, source, n_chars, true as has_lineage, false as is_corrupt
+        from documents""",
     "latest_raw_file": "select distinct event_type as source_name, 'run2' as newest_run from events",
     "nested_catalog_explode": f"""
         with {LINES} select 'fahasa' as source_name, 'BOOK' as standard_category,
@@ -400,6 +403,23 @@ ORACLE: dict[str, str] = {
             select n.id, n.name, n.k, t.name, t.depth + 1 from nodes n join tree t on n.up = t.id)
         select id as category_id, name as category_name, k as url_key, parent as parent_name, depth
         from tree where k <> ''""",
+    "nested_category_payloads": f"""
+        with {LINES}
+        select distinct cast(doc_id as varchar) as category_id, source as category_name, lang as url_key,
+               cast(null as varchar) as parent_name, 0 as depth from documents
+        union all
+        select doc_id || '-' || i, md5(line), 'l' || i, source, 1 from lines where i % 4 > 0
+        union all
+        select doc_id || '-' || i || '-n', cast(length(line) as varchar), 'size', md5(line), 2 from lines""",
+    "category_chain": """
+        with recursive tree as (
+            select c_custkey as id, c_mktsegment as name, cast(null as varchar) as parent, 0 as depth
+            from customer where c_custkey = 0
+            union all
+            select c_custkey, c_mktsegment, t.name, t.depth + 1
+            from customer join tree t on c_custkey = t.id + 1)
+        select cast(id as varchar) as category_id, name as category_name, 'k' as url_key, parent as parent_name, depth
+        from tree""",
     "html_cards": f"""
         with {LINKS} select page_id, cast(pos as integer) as pos, name as name_text, link from links""",
     "html_field_fallbacks": f"""
@@ -697,6 +717,17 @@ ORACLE: dict[str, str] = {
         where not exists (select 1 from flagged f where f.source_name = latest.source_name and f.id = latest.id)""",
 }
 
+# What is added feed by feed equals what is read at once.
+ORACLE |= {
+    "latest_state_two_feeds": ORACLE["latest_per_source_key"],
+    "process_two_updates": ORACLE["process_end_to_end"],
+    "merged_category_counts": ORACLE["category_product_counts"],
+    "merged_category_stock": f"""
+        select category_id, category_name, total_products, in_stock_products, out_stock_products
+        from ({ORACLE["category_performance"]})""",
+    "merged_price_daily": ORACLE["price_daily"],
+}
+
 # A view's rows are those of its mart.
 ORACLE |= {
     view: ORACLE[mart]

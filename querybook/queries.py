@@ -12,9 +12,11 @@ from pyspark.sql import types as T
 from listingloom import schemas
 from listingloom.functions import categories, names, numbers, web
 from listingloom.operators import dedup, enrich, gate, normalize, project, quality, resolve
-from listingloom.plans import marts, processing
+from listingloom.plans import mart_views, marts, processing
+from listingloom.plans.mart_state import MartState
 from listingloom.sinks import tables as sinks
-from listingloom.sources import feeds, html_cards, payloads, shop_pages
+from listingloom.sinks.latest_state import LatestState
+from listingloom.sources import feeds, html_cards, json_array, payloads, shop_pages
 from listingloom.storage import work_dir
 from querybook import fixtures as fx
 from querybook.fixtures import Tables
@@ -256,6 +258,20 @@ def scan_json_array(t: Tables) -> DataFrame:
     return feeds.read_feed(t.spark, path, part.schema).select(*part.columns)
 
 
+@query
+def scan_json_array_ranges(t: Tables) -> DataFrame:
+    """All documents, texts of many lines and escapes, as array files read in ranges of 64 KB."""
+    path = work_dir(t.spark, "feed") + "/documents.json"
+    docs = t.documents
+    fx.write_array_files(docs, path)
+    rows = json_array.read_json_array(t.spark, path, docs.schema, feeds.CORRUPT, range_bytes=1 << 16)
+    return rows.select(
+        "doc_id", F.md5("text").alias("text_md5"), "lang", "source", "n_chars",
+        F.col("raw_file").contains("documents.json").alias("has_lineage"),
+        F.col(feeds.CORRUPT).isNotNull().alias("is_corrupt"),
+    )
+
+
 @query
 def latest_raw_file(t: Tables) -> DataFrame:
     """Two runs and a later side file per source; the second run's file is newest."""
@@ -367,6 +383,40 @@ def category_tree_flatten(t: Tables) -> DataFrame:
     return payloads.flatten_category_tree(regions.union(nations).union(segments))
 
 
+@query
+def nested_category_payloads(t: Tables) -> DataFrame:
+    """Each document as a stored category payload, its lines as children, each with a child of its own."""
+    def category(id_: Column, name: Column, key: Column, children: Column | None = None) -> Column:
+        fields = [id_.alias("id"), name.alias("name"), key.alias("url_key")]
+        return F.struct(*fields, *([] if children is None else [children.alias("children")]))
+
+    def line(text: Column, i: Column) -> Column:
+        id_ = F.concat_ws("-", "doc_id", i)
+        inner = F.array(category(F.concat(id_, F.lit("-n")), F.length(text).cast("string"), F.lit("size")))
+        return category(id_, F.md5(text), F.when(i % 4 > 0, F.concat(F.lit("l"), i)), inner)
+
+    lines = F.transform(F.split("text", "\n"), line)
+    body = F.to_json(category(F.col("doc_id").cast("string"), F.col("source"), F.col("lang"), lines)).alias("body")
+    nodes = payloads.nested_categories(t.documents.select(body), "body")
+    return payloads.flatten_category_tree(nodes)
+
+
+@query
+def category_chain(t: Tables) -> DataFrame:
+    """All customers as one chain of categories in the order of their keys, and a cycle of three beside it."""
+    key = F.col("c_custkey")
+    chain = t.customer.select(
+        key.cast("string").alias("category_id"),
+        F.col("c_mktsegment").alias("category_name"),
+        F.lit("k").alias("url_key"),
+        F.when(key > 0, (key - 1).cast("string")).alias("parent_id"),
+    )
+    cycle = t.customer.select(
+        F.concat(F.lit("c"), key % 3), "c_mktsegment", F.lit("k"), F.concat(F.lit("c"), (key + 1) % 3)
+    )
+    return payloads.flatten_category_tree(chain.union(cycle))
+
+
 LINKS = html_cards.CardSpec("li a", {"name_text": ("", "text"), "link": ("", "href")})
 
 
@@ -539,6 +589,21 @@ def latest_per_source_key(t: Tables) -> DataFrame:
     return latest.select("source_name", "product_id", "event_id", "value", "crawl_time")
 
 
+@query
+def latest_state_two_feeds(t: Tables) -> DataFrame:
+    """The same rows as two feeds, one added to the stored state of the other."""
+    event = F.col("event_id")
+    feed = fx.event_feed(t).withColumn(
+        "product_id",
+        F.when(event % 10 == 0, F.lit(None)).when(event % 3 == 0, "hot").otherwise(F.col("product_id")),
+    )
+    state = LatestState(t.spark, work_dir(t.spark, "state"), "source_name", "product_id", "crawl_time", [event.asc()], 8)
+    earlier = F.crc32(event.cast("string").cast("binary")) % 3 > 0
+    state.add(feed.where(earlier))
+    state.add(feed.where(~earlier))
+    return state.read().select("source_name", "product_id", "event_id", "value", "crawl_time")
+
+
 @query
 def first_wins_dedup(t: Tables) -> DataFrame:
     first = dedup.first_wins(t.documents, ["text"], [F.col("doc_id")])
@@ -688,20 +753,37 @@ def publish_external_table(t: Tables) -> DataFrame:
     return t.spark.newSession().table(name)
 
 
+def _mart_tables(t: Tables) -> dict[str, DataFrame]:
+    return {
+        "categories": fx.categories(t),
+        "product_category_map": fx.product_category_map(t),
+        "products": fx.products(t),
+        "product_snapshot": fx.product_snapshot(t, fx.TIE_BREAKS),
+        "pipeline_runs": fx.pipeline_runs(t),
+        "data_quality_reports": fx.data_quality_reports(t),
+        "rejected_products": fx.rejected_products(t),
+        "pipeline_task_audit": fx.pipeline_task_audit(t),
+    }
+
+
 def _mart_view(view: str) -> Callable[[Tables], DataFrame]:
+    """The view from a view book over stored tables, read by a session that has not made it."""
+
     def read(t: Tables) -> DataFrame:
-        tables = {
-            "categories": fx.categories(t),
-            "product_category_map": fx.product_category_map(t),
-            "products": fx.products(t),
-            "product_snapshot": fx.product_snapshot(t, fx.TIE_BREAKS),
-            "pipeline_runs": fx.pipeline_runs(t),
-            "data_quality_reports": fx.data_quality_reports(t),
-            "rejected_products": fx.rejected_products(t),
-            "pipeline_task_audit": fx.pipeline_task_audit(t),
-        }
-        marts.register_marts(tables, fx.snapshot_ties())
-        return t.spark.newSession().table(f"global_temp.{view}")
+        views, needed = mart_views.mart_views(fx.TIE_BREAKS), {view}
+        for name in (view, *views[view].reads):
+            needed.update(views[name].reads if name in views else ())
+        root = work_dir(t.spark, "marts")
+        folders = {}
+        for name, rows in _mart_tables(t).items():
+            if name in needed:
+                folders[name] = f"{root}/{name}"
+                sinks.write_table(rows, folders[name])
+        book = mart_views.ViewBook(t.spark, f"{root}/book")
+        book.publish(folders, {name: views[name] for name in needed if name in views})
+        other = t.spark.newSession()
+        mart_views.ViewBook(other, book.root).open()
+        return other.table(f"default.{view}")
 
     return read
 
@@ -724,6 +806,32 @@ for _view in MART_VIEWS:
     query(_read)
 
 
+def _mart_state(t: Tables) -> MartState:
+    """Two thirds of the days, then the last third, added to the state of the first."""
+    state = MartState(t.spark, work_dir(t.spark, "mart-state"))
+    state.add_categories(fx.product_category_map(t))
+    snapshot = fx.product_snapshot(t)
+    late = F.crc32(F.to_date("processed_time").cast("string").cast("binary")) % 3 == 0
+    for days in (snapshot.where(~late), snapshot.where(late)):
+        state.add_days(days, fx.product_category_map(t))
+    return state
+
+
+@query
+def merged_category_counts(t: Tables) -> DataFrame:
+    return _mart_state(t).category_product_counts(fx.categories(t))
+
+
+@query
+def merged_category_stock(t: Tables) -> DataFrame:
+    return _mart_state(t).category_stock(fx.categories(t))
+
+
+@query
+def merged_price_daily(t: Tables) -> DataFrame:
+    return _mart_state(t).price_daily(fx.categories(t))
+
+
 @query
 def describe_table(t: Tables) -> DataFrame:
     path = work_dir(t.spark, "published")
@@ -797,12 +905,10 @@ def duplicate_report(t: Tables) -> DataFrame:
 # --- the whole run ------------------------------------------------------------
 
 
-@query
-def process_end_to_end(t: Tables) -> DataFrame:
-    """Documents written as five raw feeds, processed, and the product table read back."""
-    root = work_dir(t.spark, "run")
+def _document_feeds(t: Tables, documents: DataFrame, root: str) -> dict[str, str]:
+    """Documents as raw feeds of the five shops."""
     feed_no = F.regexp_extract("source", "([0-9]+)", 1).cast("int") % 5
-    documents = t.documents.withColumn("feed_no", feed_no)
+    documents = documents.withColumn("feed_no", feed_no)
     crawl_time = F.concat(F.lit("2024-05-01 "), F.lpad(F.col("n_chars").cast("string"), 8, "0"))
     flat = [
         F.col("doc_id").alias("product_id"),
@@ -821,7 +927,7 @@ def process_end_to_end(t: Tables) -> DataFrame:
     )
     paths = {}
     for number, source in enumerate(schemas.SOURCES):
-        paths[source] = f"{root}/raw/{source}/{source}_raw.jsonl"
+        paths[source] = f"{root}/{source}/{source}_raw.jsonl"
         rows = documents.filter(F.col("feed_no") == number)
         if source == "fahasa":
             rows = rows.select(F.struct(nested.alias("product_list")).alias("body"), crawl_time.alias("crawl_time"))
@@ -830,13 +936,35 @@ def process_end_to_end(t: Tables) -> DataFrame:
         else:
             rows = rows.select(*flat)
         rows.write.json(paths[source])
-    out = processing.run(t.spark, paths, f"{root}/processed", fx.RUN_TS)
-    return t.spark.read.parquet(out.products).select(
+    return paths
+
+
+def _processed_products(t: Tables, path: str) -> DataFrame:
+    return t.spark.read.parquet(path).select(
         "source_name", "product_id", "price", "final_price", "product_url",
         F.md5("product_name").alias("name_md5"), "crawl_time", "processed_time",
     )
 
 
+@query
+def process_end_to_end(t: Tables) -> DataFrame:
+    """Documents written as five raw feeds, processed, and the product table read back."""
+    root = work_dir(t.spark, "run")
+    paths = _document_feeds(t, t.documents, f"{root}/raw")
+    return _processed_products(t, processing.run(t.spark, paths, f"{root}/processed", fx.RUN_TS).products)
+
+
+@query
+def process_two_updates(t: Tables) -> DataFrame:
+    """The same documents as two deliveries, the second added to the state of the first."""
+    root = work_dir(t.spark, "updates")
+    first = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    for number, rows in enumerate([t.documents.where(first), t.documents.where(~first)]):
+        paths = _document_feeds(t, rows, f"{root}/raw{number}")
+        out = processing.run_update(t.spark, f"{root}/state", paths, f"{root}/processed{number}", fx.RUN_TS, buckets=4)
+    return _processed_products(t, out.products)
+
+
 @query
 def raw_feed_forms(t: Tables) -> DataFrame:
     """Parts as lines with every form of number and some broken ones, through the whole run."""

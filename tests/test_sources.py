@@ -184,6 +184,35 @@ def test_tree_without_limit_and_with_a_cycle(spark):
     assert got == {(f"n{i}", i) for i in range(105)} | {("a", 4), ("b", 5)}
 
 
+def test_long_chain_takes_rounds_by_its_logarithm(spark, monkeypatch):
+    rounds = []
+    kept = payloads.stage
+    monkeypatch.setattr(payloads, "stage", lambda df, label: rounds.append(label) or kept(df, label))
+    chain = spark.range(100_000).selectExpr(
+        "concat('n', id) category_id", "concat('name ', id) category_name", "'k' url_key",
+        "case when id > 0 then concat('n', id - 1) end parent_id",
+    )
+    ring = spark.range(7).selectExpr("concat('r', id)", "'ring'", "'k'", "concat('r', (id + 1) % 7)")
+    got = payloads.flatten_category_tree(chain.union(ring))
+    wrong = got.where("category_id <> concat('n', depth) or depth > 0 and parent_name <> concat('name ', depth - 1)")
+    assert got.count() == 100_000 and wrong.isEmpty()
+    assert rounds.count("tree-reached") == 17
+
+
+def test_several_parents_blank_ids_and_no_rows(spark):
+    rows = [
+        ("r", "R", "r", None), ("a", "A", "a", "r"), ("b", "B", "b", "a"), ("c", "C", "c", "b"),
+        # nearer to the root by its second parent, and equally near by two
+        ("d", "D", "d", "c"), ("d", "D2", "d", "a"), ("e", "E", "e", "a"), ("e", "E", "e", "x"), ("x", "X", "", "r"),
+        ("self", "S", "s", "self"), ("lost", "L", "l", "nowhere"), (None, "N", "n", "r"), ("below", "O", "o", "lost"),
+    ]
+    shape = "category_id string, category_name string, url_key string, parent_id string"
+    df = spark.createDataFrame(rows, shape)
+    got = sorted(tuple(r) for r in payloads.flatten_category_tree(df).select("category_id", "category_name", "parent_name", "depth").collect() if r[0] != "r")
+    assert got == [("a", "A", "R", 1), ("b", "B", "A", 2), ("c", "C", "B", 3), ("d", "D2", "A", 2), ("e", "E", "A", 2), ("e", "E", "X", 2)]
+    assert payloads.flatten_category_tree(spark.createDataFrame([], shape)).count() == 0
+
+
 def test_children_inside_payloads(spark):
     body = '[{"id": 1, "name": "x", "url_key": "x", "children": [{"id": 2, "name": "y", "url_key": "", "children": [{"id": 3}]}]}]'
     df = spark.createDataFrame([(body,), (None,), ('{"id": 9, "name": "z"}',)], "body string")
