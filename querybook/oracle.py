@@ -355,6 +355,22 @@ ORACLE: dict[str, str] = {
     "scan_json_array_ranges": """
         select doc_id, md5(text) as text_md5, lang, source, n_chars, true as has_lineage, false as is_corrupt
         from documents""",
+    "variant_feed_forms": """
+        with lines as (
+            select p_partkey as p, 'part ' || p_partkey as name,
+                   '{"product_id": ' || case when p_partkey % 2 = 0 then p_partkey::varchar else '"' || p_partkey || '"' end
+                   || ', "product_name": "part ' || p_partkey || '"'
+                   || case p_partkey % 5 when 0 then ', "price": ' || p_partkey
+                                         when 1 then ', "price": "' || (p_partkey % 900 + 1) || '.000đ"'
+                                         when 2 then ', "price": true'
+                                         when 3 then ', "price": {"value": ' || p_partkey || '}' else '' end as line
+            from part)
+        select case when p % 11 <> 0 then p::varchar end as product_id, case when p % 11 <> 0 then name end as product_name,
+               case when p % 11 <> 0 then case p % 5 when 0 then p when 1 then (p % 900 + 1) * 1000 when 2 then 1 end end as price,
+               case when p % 11 = 0 then md5(line) end as broken_md5
+        from lines""",
+    "write_sized_parquet": """
+        select l_orderkey, l_linenumber, l_quantity, cast(l_shipdate as varchar) as l_shipdate, l_returnflag from lineitem""",
     "latest_raw_file": "select distinct event_type as source_name, 'run2' as newest_run from events",
     "nested_catalog_explode": f"""
         with {LINES} select 'fahasa' as source_name, 'BOOK' as standard_category,

@@ -14,9 +14,10 @@ from listingloom.functions import categories, names, numbers, web
 from listingloom.operators import dedup, enrich, gate, normalize, project, quality, resolve
 from listingloom.plans import mart_views, marts, processing
 from listingloom.plans.mart_state import MartState
+from listingloom.sinks import sized
 from listingloom.sinks import tables as sinks
 from listingloom.sinks.latest_state import LatestState
-from listingloom.sources import feeds, html_cards, json_array, payloads, shop_pages
+from listingloom.sources import feeds, html_cards, json_array, payloads, shop_pages, variant_feed
 from listingloom.storage import work_dir
 from querybook import fixtures as fx
 from querybook.fixtures import Tables
@@ -258,6 +259,29 @@ def scan_json_array(t: Tables) -> DataFrame:
     return feeds.read_feed(t.spark, path, part.schema).select(*part.columns)
 
 
+@query
+def variant_feed_forms(t: Tables) -> DataFrame:
+    """Parts as lines whose fields have several types, some broken, read without a layout."""
+    root = work_dir(t.spark, "variant")
+    p = F.col("p_partkey")
+    price = (
+        F.when(p % 5 == 0, F.concat(F.lit(', "price": '), p))
+        .when(p % 5 == 1, F.concat(F.lit(', "price": "'), p % 900 + 1, F.lit('.000đ"')))
+        .when(p % 5 == 2, F.lit(', "price": true'))
+        .when(p % 5 == 3, F.concat(F.lit(', "price": {"value": '), p, F.lit("}")))
+        .otherwise("")
+    )
+    item = F.when(p % 2 == 0, p.cast("string")).otherwise(F.concat(F.lit('"'), p, F.lit('"')))
+    line = F.concat(
+        F.lit('{"product_id": '), item, F.lit(', "product_name": "part '), p, F.lit('"'), price,
+        F.when(p % 11 == 0, "").otherwise("}"),
+    )
+    t.part.select(line.alias("value")).write.text(f"{root}/parts.jsonl")
+    feed = variant_feed.read_variant_feed(t.spark, f"{root}/parts.jsonl")
+    rows = variant_feed.normalize_variant(feed, "vinabook", normalize.SIMPLE, fx.RUN_TS)
+    return rows.select("product_id", "product_name", "price", F.md5(feeds.CORRUPT).alias("broken_md5"))
+
+
 @query
 def scan_json_array_ranges(t: Tables) -> DataFrame:
     """All documents, texts of many lines and escapes, as array files read in ranges of 64 KB."""
@@ -727,6 +751,14 @@ def write_single_parquet(t: Tables) -> DataFrame:
     return t.spark.read.parquet(path).select("doc_id", "source", "lang", "n_chars", F.md5("text").alias("text_md5"))
 
 
+@query
+def write_sized_parquet(t: Tables) -> DataFrame:
+    """Line items in files of about 256 KB, however many tasks wrote them first."""
+    path = work_dir(t.spark, "sized")
+    sized.write_sized(t.lineitem.repartition(16), path, 256 << 10)
+    return t.spark.read.parquet(path).select("l_orderkey", "l_linenumber", "l_quantity", "l_shipdate", "l_returnflag")
+
+
 @query
 def write_partitioned_parquet(t: Tables) -> DataFrame:
     path = work_dir(t.spark, "products-by-source")
