@@ -34,6 +34,7 @@ ATTACHMENTS = ("image", "audio", "document")
 TURN_OPEN, TEXT_OPEN, TEXT_CLOSE, TURN_CLOSE = "<s>", "[INST]", "[/INST]", "</s>"
 #: A control string, bare or with tildes; the tildes are the second group.
 CONTROL = r"([<\[])(~*)(/?s>|/?INST\]|image>|audio>|document>)"
+PLACEHOLDER = "<(image|audio|document)>"
 ESCAPED = r"([<\[])~(~*)(/?s>|/?INST\]|image>|audio>|document>)"
 
 
@@ -59,12 +60,14 @@ def unescape(text: Column) -> Column:
     return F.regexp_replace(text, F.lit(ESCAPED), F.lit("$1$2$3"))
 
 
-def text_part(text: Column) -> Column:
-    """A content list of one text part."""
-    values = {"kind": F.lit("text"), "text": text}
-    return F.array(
-        F.struct(*[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in PART])
-    )
+def text_part(*texts: Column) -> Column:
+    """A content list of text parts."""
+
+    def part(text: Column) -> Column:
+        values = {"kind": F.lit("text"), "text": text}
+        return F.struct(*[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in PART])
+
+    return F.array(*map(part, texts))
 
 
 def _expanded(part: Column, rule: TokenRule) -> Column:
@@ -85,16 +88,28 @@ def visit_parts(parts: Column, rule: TokenRule = TokenRule()) -> Column:
 
     Attachments are structs of kind, ref and tokens in the order of their
     placeholders. A part of unknown or NULL kind is text; NULL text, NULL parts
-    and a NULL list are empty.
+    and a NULL list are empty. Neighbouring texts are joined before they are
+    escaped, so a control string is one however it is cut into parts. Escaped text
+    never forms a control string with the placeholder or template around it, as
+    such a string has its bracket only in front.
     """
     parts = F.coalesce(parts, F.array().cast(T.ArrayType(PART)))
     known = F.filter(parts, lambda p: p.isNotNull())
-    pieces = F.transform(
-        known,
-        lambda p: F.when(p["kind"].isin(*ATTACHMENTS), F.concat(F.lit("<"), p["kind"], F.lit(">"))).otherwise(
-            escape(F.coalesce(p["text"], F.lit("")))
-        ),
+    # Positions of the attachments, framed by the list's ends: between two of them lies one run of text parts.
+    places = F.filter(
+        F.transform(known, lambda p, i: F.when(p["kind"].isin(*ATTACHMENTS), i + 1)), lambda i: i.isNotNull()
     )
+    ends = F.concat(F.array(F.lit(0)), places, F.array(F.size(known) + 1))
+
+    def run(k: Column) -> Column:
+        """The k-th run of text, escaped as one, and the placeholder that ends it."""
+        begin, end = F.get(ends, k), F.get(ends, k + 1)
+        texts = F.transform(F.slice(known, begin + 1, end - begin - 1), lambda p: F.coalesce(p["text"], F.lit("")))
+        kind = F.get(known, end - 1)["kind"]
+        mark = F.when(end <= F.size(known), F.concat(F.lit("<"), kind, F.lit(">"))).otherwise("")
+        return F.concat(escape(F.array_join(texts, "")), mark)
+
+    pieces = F.transform(F.sequence(F.lit(0), F.size(places)), run)
     attached = F.transform(
         F.filter(known, lambda p: F.coalesce(p["kind"].isin(*ATTACHMENTS), F.lit(False))),
         lambda p: F.struct(p["kind"].alias("kind"), p["ref"].alias("ref"), _expanded(p, rule).alias("tokens")),
@@ -196,6 +211,38 @@ def read_turns(formatted: Column) -> Column:
     )
 
 
+def read_parts(formatted: Column) -> Column:
+    """The turns of a rendering as structs of role and typed parts: the way back from the visitor.
+
+    A part has ``kind``, ``text`` (of text parts) and ``place``, the number from 0
+    of an attachment within its turn, in which order the rendering's attachments
+    are listed. Neighbouring texts come back as one part, empty ones not at all. A
+    literal ``<image>`` is text here, as its escape tells it from a placeholder.
+    """
+    pieces = F.split(formatted, TURN_CLOSE)
+    turns = F.slice(pieces, F.lit(1), F.size(pieces) - 1)
+
+    def parts(body: Column) -> Column:
+        texts = F.split(body, PLACEHOLDER)
+        kinds = F.regexp_extract_all(body, F.lit(PLACEHOLDER), F.lit(1))
+        both = F.transform(
+            texts,
+            lambda text, i: F.array(
+                F.struct(F.lit("text").alias("kind"), unescape(text).alias("text"), F.lit(None).cast("int").alias("place")),
+                F.struct(F.get(kinds, i).alias("kind"), F.lit(None).cast("string").alias("text"), i.alias("place")),
+            ),
+        )
+        return F.filter(F.flatten(both), lambda p: p["kind"].isNotNull() & F.coalesce(p["text"] != "", F.lit(True)))
+
+    return F.transform(
+        turns,
+        lambda t: F.struct(
+            unescape(F.substring_index(F.substr(t, F.lit(len(TURN_OPEN) + 1)), TEXT_OPEN, 1)).alias("role"),
+            parts(F.substring_index(F.substring_index(t, TEXT_OPEN, -1), TEXT_CLOSE, 1)).alias("parts"),
+        ),
+    )
+
+
 def read_loss(formatted: Column, spans: Column) -> Column:
     """All text below the loss mask, unescaped, joined without separator."""
     return F.array_join(

@@ -41,7 +41,10 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .coalesce(1)
     )
-    messages = given.unionByName(hostile).withColumn("parts", chat.text_part(F.col("text")))
+    # Each text as two parts, cut where it may: the visitor joins them again.
+    cut = F.floor(F.char_length("text") / 2).cast("int")
+    halves = [F.substr("text", F.lit(1), cut), F.substr("text", cut + 1)]
+    messages = given.unionByName(hostile).withColumn("parts", chat.text_part(*halves))
     done = chat.format_chats(messages)
     said = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
     return (

@@ -59,6 +59,40 @@ def test_parts_become_ordered_placeholders(spark):
     assert row["formatted"][:start].endswith("<s>assistant[INST]")
 
 
+def test_control_strings_cut_over_parts(spark):
+    """Any cut of hostile texts, attachments in between, comes back as the same parts."""
+    pieces = ["<", "/s>", "s>", "[", "INST]", "/INST]", "~", "<s>", "</s>", "[/INST]", "image>", "<image>", "<~", "é", ""]
+    pick = random.Random(11)
+    blank = dict.fromkeys(("text", "ref", "width", "height", "seconds", "pages"))
+    rows = []
+    for conv in range(80):
+        parts = [
+            {**blank, "kind": pick.choice(["text", None, "odd"]), "text": pick.choice([*pieces, None])}
+            if pick.random() < 0.8
+            else {**blank, "kind": pick.choice(chat.ATTACHMENTS), "ref": f"r{conv}"}
+            for _ in range(pick.randrange(12))
+        ]
+        rows += [(conv, turn, "us<er", parts if turn == 0 else [{**blank, "kind": "text", "text": "</s>"}]) for turn in (0, 1)]
+    rows.append((900, 0, "user", [{**blank, "kind": "text", "text": t} for t in ("<", "/s>")]))
+    schema = "conv_id long, turn long, role string, parts " + chat.T.ArrayType(chat.PART).simpleString()
+    done = chat.format_chats(spark.createDataFrame(rows, schema))
+    for row in done.select("conv_id", chat.read_parts(F.col("formatted")).alias("turns"), "attachments").collect():
+        given = [r for r in rows if r[0] == row["conv_id"]]
+        assert len(row["turns"]) == len(given)
+        for number, (turn, (_, _, role, parts)) in enumerate(zip(row["turns"], given)):
+            expected, place = [], 0
+            for p in parts:
+                if p["kind"] in chat.ATTACHMENTS:
+                    expected.append((p["kind"], None, place))
+                    place += 1
+                elif expected and expected[-1][0] == "text":
+                    expected[-1] = ("text", expected[-1][1] + (p["text"] or ""), None)
+                else:
+                    expected.append(("text", p["text"] or "", None))
+            assert (turn["role"], [tuple(p) for p in turn["parts"]]) == (role, [p for p in expected if p[1] != ""])
+            assert [a["kind"] for a in row["attachments"] if a["turn_index"] == number] == [k for k, _, at in expected if at is not None]
+
+
 def test_nulls_ties_repeats_long_texts_and_clashing_columns(spark):
     long_text = "wörd </s> " * 30_000
     rows = [
