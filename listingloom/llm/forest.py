@@ -3,7 +3,13 @@
 Each tree splits the space at the median along random directions; rows close to
 a cut go to both sides. Rows of one leaf are compared exactly, and what is alike
 is joined to components. The cuts are fitted on a bounded sample, but every row
-passes through every tree.
+passes through every tree. Below the depth that the sample can tell, a leaf that still
+stands for too many rows is cut on at its middle along fresh directions, which all
+such leaves of a tree share; so leaves stay small at any number of rows and the
+forest's size is a few numbers a leaf.
+
+How many trees are grown is measured: partners at a cosine just above the threshold
+are made for sampled rows, and trees are added until enough of them meet.
 
 A node whose rows would nearly all go to both sides is not split further: a group
 of near copies stays together. A leaf that is expected to hold many rows is
@@ -33,7 +39,8 @@ class Settings:
     ``spill`` is half the width of the overlap at a cut, in standard deviations
     of a random direction; ``leaf`` the rows a leaf should have; ``block`` the rows
     of a block; a node where more than ``tight`` of the rows lie in the overlap
-    stays whole.
+    stays whole. There are ``trees`` trees at least and ``most_trees`` at most, as
+    many as it takes for ``recall`` of the made partners to meet.
     """
 
     threshold: float = 0.9
@@ -44,17 +51,32 @@ class Settings:
     sample: int = 16_384
     tight: float = 0.6
     seed: int = 11
+    recall: float = 0.985
+    most_trees: int = 12
+
+
+#: Sampled rows below which a node's median is no guide.
+FEWEST = 16
+#: Sampled rows that partners are made for, and how far above the threshold.
+PROBES, ABOVE = 2048, 0.005
 
 
 @dataclass
 class Tree:
-    """Cuts by node; ``low`` and ``high`` are child nodes, or -1 and the number of the leaf."""
+    """Cuts by node; ``low`` and ``high`` are child nodes, or -1 and the number of the leaf.
+
+    A leaf with ``levels`` above 0 is cut on that often along ``further``; its first
+    sub-leaf has the leaf's number, and ``centres`` are its places along each.
+    """
 
     directions: np.ndarray
     cuts: np.ndarray
     low: np.ndarray
     high: np.ndarray
     margin: float
+    levels: np.ndarray
+    further: np.ndarray
+    centres: np.ndarray
 
     def leaves_of(self, units: np.ndarray) -> list[tuple[int, np.ndarray]]:
         """Leaf numbers with the rows that reach them."""
@@ -64,7 +86,7 @@ class Tree:
             if not len(rows):
                 continue
             if self.low[node] < 0:
-                found.append((int(self.high[node]), rows))
+                found += self._cut_on(node, units, rows)
                 continue
             along = units[rows] @ self.directions[node] - self.cuts[node]
             waiting += [
@@ -73,43 +95,111 @@ class Tree:
             ]
         return found
 
+    def _cut_on(self, node: int, units: np.ndarray, rows: np.ndarray) -> list[tuple[int, np.ndarray]]:
+        parts = [(int(self.high[node]), rows)]
+        for level in range(int(self.levels[node])):
+            halves = []
+            for number, own in parts:
+                along = units[own] @ self.further[level] - self.centres[node, level]
+                halves += [(number, own[along < self.margin]), (number + (1 << level), own[along > -self.margin])]
+            parts = [(number, own) for number, own in halves if len(own)]
+        return parts
+
+
+def grow_tree(units: np.ndarray, scale: float, first: int, random, given: Settings) -> tuple[Tree, list[tuple[int, int]]]:
+    """A tree whose leaves are numbered from ``first``, and (number of sub-leaves, blocks of each) by leaf.
+
+    Each sampled row stands for ``scale`` rows.
+    """
+    size = max(units.shape[1], 1)
+    margin = given.spill / np.sqrt(size)
+    directions, cuts, low, high, levels, middles = [], [], [], [], [], []
+    leaves: list[tuple[int, int]] = []
+    number = first
+    # With each node goes the middle of the last ancestor that had rows enough to tell it.
+    waiting = [(np.arange(len(units)), None, units.mean(axis=0) if len(units) else np.zeros(size))]
+    while waiting:
+        own, link, middle = waiting.pop()
+        node = len(cuts)
+        direction = random.normal(size=size)
+        direction /= np.linalg.norm(direction)
+        directions.append(direction)
+        if link:
+            link[0][link[1]] = node
+        along = units[own] @ direction
+        cut = float(np.median(along)) if len(own) else 0.0
+        cuts.append(cut)
+        if len(own) >= FEWEST:
+            middle = units[own].mean(axis=0)
+        left, right = own[along < cut + margin], own[along > cut - margin]
+        tight = len(left) + len(right) - len(own) > given.tight * len(own)
+        standing = len(own) * scale
+        if standing <= given.leaf or len(own) < FEWEST or tight:
+            more = 0 if tight and len(own) >= FEWEST else max(0, int(np.ceil(np.log2(max(standing, 1) / given.leaf))))
+            low.append(-1)
+            high.append(number)
+            levels.append(more)
+            middles.append(middle)
+            leaves.append((1 << more, max(1, int(np.ceil(standing / (1 << more) / given.block)))))
+            number += 1 << more
+            continue
+        low.append(0)
+        high.append(0)
+        levels.append(0)
+        middles.append(None)
+        waiting += [(left, (low, node), middle), (right, (high, node), middle)]
+    depth = max(levels, default=0)
+    further = random.normal(size=(depth, size))
+    further /= np.maximum(np.linalg.norm(further, axis=1, keepdims=True), np.finfo(float).tiny)
+    centres = np.zeros((len(cuts), depth))
+    at = [n for n, middle in enumerate(middles) if middle is not None and levels[n]]
+    if at:
+        centres[at] = np.array([middles[n] for n in at]) @ further.T
+    tree = Tree(
+        np.array(directions), np.array(cuts), np.array(low), np.array(high), margin, np.array(levels), further, centres
+    )
+    return tree, leaves
 
-def grow(units: np.ndarray, rows: int, given: Settings) -> tuple[list[Tree], dict[int, int]]:
+
+def partners(units: np.ndarray, cosine: float, random) -> np.ndarray:
+    """For each row one at the given cosine to it, in a random direction."""
+    aside = random.normal(size=units.shape)
+    aside -= (aside * units).sum(axis=1, keepdims=True) * units
+    aside /= np.maximum(np.linalg.norm(aside, axis=1, keepdims=True), np.finfo(float).tiny)
+    return cosine * units + np.sqrt(1 - cosine**2) * aside
+
+
+def meet(tree: Tree, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether row i of ``a`` and row i of ``b`` share a leaf."""
+    found = np.zeros(len(a), bool)
+    inside = dict(tree.leaves_of(a))
+    for leaf, rows in tree.leaves_of(b):
+        if leaf in inside:
+            found[np.intersect1d(inside[leaf], rows, assume_unique=True)] = True
+    return found
+
+
+def grow(units: np.ndarray, rows: int, given: Settings) -> tuple[list[Tree], np.ndarray]:
     """The trees for ``rows`` rows of which ``units`` is a sample, and the blocks of the leaves.
 
     Leaves are numbered through all trees.
     """
     random = np.random.default_rng(given.seed)
-    size = max(units.shape[1], 1)
-    margin = given.spill / np.sqrt(size)
     scale = rows / max(len(units), 1)
-    trees, blocks = [], {}
-    for _ in range(given.trees):
-        directions, cuts, low, high = [], [], [], []
-        waiting = [(np.arange(len(units)), None)]
-        while waiting:
-            own, link = waiting.pop()
-            node = len(cuts)
-            direction = random.normal(size=size)
-            direction /= np.linalg.norm(direction)
-            directions.append(direction)
-            if link:
-                link[0][link[1]] = node
-            along = units[own] @ direction
-            cut = float(np.median(along)) if len(own) else 0.0
-            cuts.append(cut)
-            left, right = own[along < cut + margin], own[along > cut - margin]
-            shared = len(left) + len(right) - len(own)
-            if len(own) * scale <= given.leaf or len(own) < 16 or shared > given.tight * len(own):
-                low.append(-1)
-                high.append(len(blocks))
-                blocks[len(blocks)] = max(1, int(np.ceil(len(own) * scale / given.block)))
-                continue
-            low.append(0)
-            high.append(0)
-            waiting += [(left, (low, node)), (right, (high, node))]
-        trees.append(Tree(np.array(directions), np.array(cuts), np.array(low), np.array(high), margin))
-    return trees, blocks
+    probes = units[:PROBES]
+    made = partners(probes, min(given.threshold + ABOVE, 1.0), random) if units.shape[1] > 1 else probes
+    missed = np.ones(len(probes), bool)
+    trees, counts, first = [], [], 0
+    while len(trees) < given.trees or (len(trees) < given.most_trees and missed.mean() > 1 - given.recall):
+        tree, leaves = grow_tree(units, scale, first, random, given)
+        trees.append(tree)
+        counts.append(np.repeat([blocks for _, blocks in leaves], [parts for parts, _ in leaves]))
+        first += sum(parts for parts, _ in leaves)
+        if len(probes):
+            missed &= ~meet(tree, probes, made)
+        else:
+            missed = np.zeros(1, bool)
+    return trees, np.concatenate(counts).astype(np.int32)
 
 
 def unit_rows(vectors, width: int) -> np.ndarray:
@@ -123,13 +213,30 @@ def unit_rows(vectors, width: int) -> np.ndarray:
 
 
 def local_roots(linked: np.ndarray, names: np.ndarray) -> np.ndarray:
-    """Smallest name reachable over the symmetric matrix ``linked``."""
-    roots = names.copy()
+    """Smallest name reachable over the symmetric matrix ``linked``.
+
+    Roots hook onto the smallest root next to any of their rows and paths are
+    halved, so the matrix is read about as often as the logarithm of its rows.
+    """
+    count = len(names)
+    order = np.argsort(names, kind="stable")
+    place = np.empty(count, np.int64)
+    place[order] = np.arange(count)
+    # From here on a name is its place in their order.
+    roots = place.copy()
+    by_place = order
     while True:
-        least = np.where(linked, roots[None, :], np.iinfo(np.int64).max).min(axis=1, initial=np.iinfo(np.int64).max)
-        lower = np.minimum(roots, least)
+        least = np.where(linked, roots[None, :], count).min(axis=1, initial=count)
+        above = np.arange(count)
+        np.minimum.at(above, roots, np.minimum(roots, least))
+        while True:
+            higher = above[above]
+            if (higher == above).all():
+                break
+            above = higher
+        lower = above[roots]
         if (lower == roots).all():
-            return roots
+            return names[by_place[roots]]
         roots = lower
 
 

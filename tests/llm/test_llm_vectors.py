@@ -116,3 +116,54 @@ def test_no_rows_and_no_usable_rows(spark):
     assert forest.near_duplicates(df.where("1 = 0")).count() == 0
     got = forest.near_duplicates(df.where("vec_id is not null")).collect()
     assert sorted(tuple(r) for r in got) == [(i, 0, i, True) for i in (9001, 9002, 9003, 9004)]
+
+
+def made_rows(count, dim, shift, seed):
+    pick = np.random.default_rng(seed)
+    rows = pick.normal(size=(count, dim)) + shift * np.sqrt(dim) * np.eye(dim)[0]
+    return rows / np.linalg.norm(rows, axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize("shift", [0.0, 1.0])
+@pytest.mark.parametrize("rows", [20_000, 200_000, 1_000_000])
+def test_partners_above_the_threshold_meet_at_any_size(rows, shift):
+    """Cosine 0.905, centred vectors and such of mean cosine 0.5; the sample is what the operator collects."""
+    units = made_rows(6_000, 64, shift, 3)
+    given = forest.Settings()
+    trees, blocks = forest.grow(units[:4096], rows, given)
+    fresh = units[4096:]
+    pairs = forest.partners(fresh, 0.905, np.random.default_rng(9))
+    met, copies = np.zeros(len(fresh), bool), 0
+    for tree in trees:
+        met |= forest.meet(tree, fresh, pairs)
+        copies += sum(len(reached) for _, reached in tree.leaves_of(fresh))
+    assert met.mean() >= 0.97
+    print(rows, shift, len(trees), met.mean(), copies / len(fresh))
+
+
+def test_leaves_stay_small_at_a_hundred_million_rows():
+    units = made_rows(8_192, 32, 0.0, 4)
+    trees, blocks = forest.grow(units, 10**8, forest.Settings(trees=2, most_trees=2))
+    assert blocks.max() == 1 and len(blocks) > 10**5
+    held = sum(x.nbytes for t in trees for x in (t.directions, t.cuts, t.low, t.high, t.levels, t.further, t.centres))
+    assert held < 64 << 20
+    fresh = made_rows(20_000, 32, 0.0, 5)
+    for tree in trees:
+        sizes = [len(reached) for _, reached in tree.leaves_of(fresh)]
+        # As a share of all rows: the largest leaf stands for a few thousand rows.
+        assert max(sizes) / len(fresh) * 10**8 < 60_000
+        assert sorted(np.unique(np.concatenate([r for _, r in tree.leaves_of(fresh)]))) == list(range(len(fresh)))
+
+
+def test_roots_of_chains_and_groups():
+    pick = np.random.default_rng(7)
+    for count in (0, 1, 2, 50, 400):
+        names = pick.permutation(10 * count)[:count]
+        chain = pick.permutation(count)
+        linked = np.zeros((count, count), bool)
+        linked[chain[:-1], chain[1:]] = pick.random(max(count - 1, 0)) < 0.9
+        linked |= linked.T
+        expected = names.copy()
+        for _ in range(count):
+            expected = np.minimum(expected, np.where(linked, expected[None, :], 10**9).min(axis=1, initial=10**9))
+        assert (forest.local_roots(linked, names) == expected).all()
