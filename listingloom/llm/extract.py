@@ -36,6 +36,8 @@ CLOSES_P = frozenset(
 SAME_CLOSES = frozenset("li dt dd tr td th option optgroup p".split())
 BLOCKS = ("h1", "h2", "h3", "h4", "h5", "h6", "p", "li", "td", "th", "div", "section", "blockquote", "pre", "dd", "dt")
 LANDMARKS = frozenset(("article", "main"))
+#: Pages that open such an element.
+MARKED = r"(?i)<(article|main)[\s/>]"
 NEVER = frozenset(
     "head script style template noscript nav footer aside form button select textarea iframe object svg canvas "
     "audio video dialog menu title noframes noembed xmp datalist math map".split()
@@ -154,6 +156,8 @@ def pieces_of(page: str) -> list[Piece]:
     """The page in order. Unclosed elements end with their parents; stray closing tags count as tags only."""
     out: list[Piece] = []
     open_names: list[str] = []
+    # How many of each name are open, so that a stray closing tag looks at none of them.
+    open_count: Counter = Counter()
     open_never: list[bool] = []
     open_at: list[tuple[int, bool]] = []
     named: list[tuple[int, int]] = []
@@ -164,6 +168,7 @@ def pieces_of(page: str) -> list[Piece]:
     def pop(to: int) -> None:
         while len(open_names) > to:
             name = open_names.pop()
+            open_count[name] -= 1
             state["never"] -= open_never.pop()
             state["landmark"] -= name in LANDMARKS
             state["link"] -= name == "a"
@@ -203,8 +208,12 @@ def pieces_of(page: str) -> list[Piece]:
         breaks = name not in INLINE
         if found["close"]:
             add(None, breaks, name)
-            if name in open_names:
-                pop(len(open_names) - 1 - open_names[::-1].index(name))
+            if open_count[name] > 0:
+                # What is passed on the way is closed, so each element is passed once.
+                depth = len(open_names) - 1
+                while open_names[depth] != name:
+                    depth -= 1
+                pop(depth)
             continue
         if open_names and (name in CLOSES_P or name in SAME_CLOSES):
             closing = {"p"} if name in CLOSES_P else set()
@@ -212,6 +221,8 @@ def pieces_of(page: str) -> list[Piece]:
                 closing |= {"td", "th"} if name in ("td", "th") else {"dt", "dd"} if name in ("dt", "dd") else {name}
                 closing |= {"td", "th"} if name == "tr" else set()
             depth = len(open_names)
+            if not any(open_count[c] for c in closing):
+                depth = 0
             while depth and (open_names[depth - 1] in INLINE or open_names[depth - 1] in closing):
                 depth -= 1
                 if open_names[depth] in closing:
@@ -221,6 +232,7 @@ def pieces_of(page: str) -> list[Piece]:
             add(None, breaks, name)
             continue
         open_names.append(name)
+        open_count[name] += 1
         open_at.append((len(out), _named(name, found["attrs"])))
         open_never.append(_never(name, found["attrs"], state["landmark"] > 0))
         state["never"] += open_never[-1]
@@ -317,11 +329,11 @@ def main_text(page: str | None, weights: Weights) -> str:
 
 
 def fit(pages: DataFrame, sample: int = 1024) -> Weights:
-    """Weights from about ``sample`` pages that mark their article, picked by a hash of the page's own text.
+    """Weights from about ``sample`` of the pages that mark their article, picked by a hash of the page's own text.
 
     Only counts per feature leave the tasks, and features are names known to HTML.
     """
-    rows = pages.select("html").where(F.col("html").isNotNull())
+    rows = pages.select("html").where(F.col("html").rlike(MARKED))
     rate = sample / max(rows.count(), 1)
     picked = rows.where(F.pmod(F.xxhash64("html"), F.lit(2**30)) < F.lit(int(rate * 2**30)))
     known = CLOSES_P | SAME_CLOSES | INLINE | VOID | RAW | NEVER | set(BLOCKS) | LANDMARKS | {"html", "body"}

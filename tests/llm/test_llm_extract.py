@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 
@@ -79,6 +80,24 @@ def test_deep_and_long_pages(weights):
     assert main_text("<a " * 20_000, weights) == ""
 
 
+@pytest.mark.parametrize("piece", ["<b></i>", "<b>", "</i>", "<b><hr>", "<p></li>", "<div></p>", "<li><a>x"])
+def test_time_is_that_of_the_page(piece):
+    """200,000 stray, nested or repeated tags."""
+    page = piece * (200_000 // piece.count("<"))
+    started = time.time()
+    extract.pieces_of(page)
+    assert time.time() - started < 6
+
+
+def test_sample_is_of_marked_pages(spark):
+    """Few pages mark their article; all of these are learnt from, whatever the number of others."""
+    plain = [(n, f"<body><h3>{n} words</h3></body>") for n in range(3000)]
+    marked = [(n, f"<body><article><h3>said {n} said</h3></article><li>menu {n}</li></body>") for n in range(30)]
+    weights = extract.fit(spark.createDataFrame(plain + marked, "page_id long, html string"))
+    alone = extract.fit(spark.createDataFrame(marked, "page_id long, html string"))
+    assert weights == alone and weights.blocks["h3"] > 2
+
+
 def test_table(spark):
     rows = [(1, "u", PAGE, "x"), (1, "u", PAGE, "x"), (2, None, None, None), (None, "v", "", "y")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
