@@ -14,8 +14,11 @@ segment's rarest element occurs among all documents, by a sketch of fixed size.
 So segments made of passages that many documents share are skipped while others
 are left. Small sets have few segments, and only they use deletion variants.
 
-Sets that meet form families. A family is verified in blocks, on all shingles of
-the whole texts, and returns links as local stars; pairs are never listed.
+Sets that meet form families. A large family is met again with segments of a new
+hash, among its own members only: similar sets meet whatever the hash, strangers
+that one passage or accident had brought together mostly do not, so chains of
+them fall apart before anything is compared. What is left is verified in blocks, on all
+shingles of the whole texts, and returns links as local stars; pairs are never listed.
 """
 
 from __future__ import annotations
@@ -47,7 +50,8 @@ EMPTY = np.int64(1) << 40
 class Settings:
     """``percent`` is the least similarity; ``ratio`` of a band's ends; up to ``short`` elements deletions are used.
 
-    ``spare`` is the share of segments that a set can skip; ``block`` the sets of a family that are compared at once.
+    ``spare`` is the share of segments that a set can skip. ``block`` sets of a family, of about ``elements`` elements
+    at most, are compared at once with as many others. Families of more than ``settled`` sets meet ``turns`` times.
     """
 
     words: int = 4
@@ -56,6 +60,9 @@ class Settings:
     short: int = 48
     spare: float = 0.06
     block: int = 512
+    elements: int = 1 << 19
+    settled: int = 32
+    turns: int = 3
 
     def differ(self, total: int) -> int:
         """Most elements in which two sets of ``total`` elements together differ."""
@@ -193,8 +200,10 @@ def allowances(cost: np.ndarray, sizes: np.ndarray, needed: int, short: bool) ->
     return given
 
 
-def keys_of(own: np.ndarray, node: int, cost: np.ndarray, given: Settings) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket keys of one set and its node with flags for each."""
+def keys_of(
+    own: np.ndarray, node: int, cost: np.ndarray, given: Settings, turn: int = 0
+) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket keys of one set and its node with flags for each. Each turn has its own hash of the elements."""
     size = len(own)
     low, high = given.band(size)
     reach = 100 * size // given.percent
@@ -206,8 +215,8 @@ def keys_of(own: np.ndarray, node: int, cost: np.ndarray, given: Settings) -> tu
         if home or needed > 1:
             short = high <= given.short
             count = given.segments(high)
-            # Elements are hashed anew in each band, so that accidents of one do not repeat in the next.
-            mixed = mix(own + np.uint64(high))
+            # Elements are hashed anew in each band and turn, so that accidents of one do not repeat in the next.
+            mixed = mix(own + np.uint64(high + (turn << 40)))
             segment = (mixed % np.uint64(count)).astype(np.int64)
             order = np.argsort(segment, kind="stable")
             sizes = np.bincount(segment, minlength=count)
@@ -248,23 +257,26 @@ def meetings(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return hubs[shown], bare[shown]
 
 
-def families(docs: DataFrame, cost: np.ndarray, given: Settings) -> DataFrame:
-    """``node`` and ``root`` of the sets that meet others in some bucket (roots themselves not listed)."""
+def families(docs: DataFrame, cost: np.ndarray, given: Settings, turn: int = 0) -> DataFrame:
+    """``node`` and ``root`` of the sets that meet others in some bucket (roots themselves not listed).
+
+    ``docs`` holds ``text`` and ``within``, the family in which a set can meet others.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(cost)  # CELLS numbers, whatever the input.
 
     def index(batches):
         table = shared.value
         for batch in batches:
-            texts = batch.column(0)
+            texts, homes = batch.column(0), batch.column(1).to_numpy().view(np.uint64)
             for at in range(0, len(texts), 256):
                 keys, nodes = [], []
-                for text in texts.slice(at, 256).to_pylist():
+                for text, home in zip(texts.slice(at, 256).to_pylist(), homes[at : at + 256]):
                     own = shingles(text, given.words)
                     if len(own):
                         seal = xxhash.xxh3_128_digest(own.tobytes())
                         node = int.from_bytes(seal[:8], "little", signed=True) & ~FLAGS
-                        found = keys_of(own, node, table, given)
-                        keys.append(found[0])
+                        found = keys_of(own, node, table, given, turn)
+                        keys.append(mix(found[0].view(np.uint64) ^ home).view(np.int64))
                         nodes.append(found[1])
                 if keys:
                     yield pa.RecordBatch.from_arrays(
@@ -293,7 +305,7 @@ def families(docs: DataFrame, cost: np.ndarray, given: Settings) -> DataFrame:
             [pa.array(np.ascontiguousarray(pairs[:, 0])), pa.array(np.ascontiguousarray(pairs[:, 1]))], ["a", "b"]
         )
 
-    rows = docs.select("text").mapInArrow(index, "key long, node long")
+    rows = docs.select("text", "within").mapInArrow(index, "key long, node long")
     met = rows.repartition("key").sortWithinPartitions("key", "node").mapInArrow(meet, "a long, b long")
     return components(met)
 
@@ -337,6 +349,24 @@ def link_family(members: pd.DataFrame, given: Settings) -> pd.DataFrame:
     return pd.DataFrame(linked, columns=["a", "b"]).astype("int64")
 
 
+def members_of(met: DataFrame, groups: DataFrame) -> DataFrame:
+    """``rep``, ``family`` and ``size`` of every set that has met another, stored."""
+    roots = met.select(F.col("root").alias("node")).distinct().withColumn("root", F.col("node"))
+    named = groups.join(met.unionByName(roots), "node", "inner")
+    return stage(named.groupBy("rep", F.col("root").alias("family")).agg(F.max("size").alias("size")), "jaccard-members")
+
+
+def met_again(
+    own: DataFrame, members: DataFrame, groups: DataFrame, cost: np.ndarray, given: Settings, turn: int
+) -> DataFrame:
+    """``members`` with the large families parted into those whose sets meet in this turn as well."""
+    large = members.groupBy("family").agg(F.count(F.lit(1)).alias("sets")).where(F.col("sets") > given.settled)
+    open_ones = members.join(large, "family", "left_semi").select("rep", F.col("family").alias("within"))
+    texts = own.join(open_ones, own["doc_id"] == open_ones["rep"], "inner").select("text", "within")
+    parted = members_of(families(texts, cost, given, turn), groups)
+    return stage(members.join(large, "family", "left_anti").unionByName(parted.select(*members.columns)), "jaccard-parted")
+
+
 def similar_groups(docs: DataFrame, given: Settings = Settings()) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of ``docs`` (doc_id, text).
 
@@ -351,12 +381,20 @@ def similar_groups(docs: DataFrame, given: Settings = Settings()) -> DataFrame:
     described = describe(own, given)
     sets = described.where("chunk < 0").select("doc_id", "n_shingles", "node", "print")
     full = sets.where("n_shingles > 0 and doc_id is not null")
-    groups = stage(full.groupBy("print", "node").agg(F.min("doc_id").alias("rep")), "jaccard-groups")
-    met = families(own.where("doc_id is not null"), costs(described), given)
-    roots = met.select(F.col("root").alias("node")).distinct().withColumn("root", F.col("node"))
-    members = groups.join(met.unionByName(roots), "node", "inner").select("rep", F.col("root").alias("family"))
-    members = stage(members.distinct(), "jaccard-members")
-    blocks = members.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / given.block).cast("int").alias("blocks"))
+    groups = stage(
+        full.groupBy("print", "node").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("size")),
+        "jaccard-groups",
+    )
+    cost = costs(described)
+    started = own.where("doc_id is not null").select("text", F.lit(0).cast("long").alias("within"))
+    members = members_of(families(started, cost, given), groups)
+    for turn in range(1, given.turns):
+        members = met_again(own, members, groups, cost, given, turn)
+    blocks = members.groupBy("family").agg(
+        F.ceil(
+            F.greatest(F.count(F.lit(1)) / F.lit(given.block), F.sum("size") / F.lit(given.elements))
+        ).cast("int").alias("blocks")
+    )
     dealt = (
         members.join(blocks, "family", "inner")
         .withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))

@@ -2,6 +2,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from listingloom.llm import jaccard
 
@@ -121,3 +122,42 @@ def test_odd_inputs(spark):
     assert kept.columns == df.columns
     assert sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 1, 2, 3, 4, 6, 7, 8, 10, 12]
     assert jaccard.similar_groups(df.where("1 = 0")).count() == 0
+
+
+def test_strangers_of_one_passage_fall_apart_and_links_stay(spark):
+    """Chains of documents that share passages are parted before they are compared; groups equal brute force."""
+    pick = random.Random(11)
+    passages = [[f"p{n}_{k}" for k in range(60)] for n in range(6)]
+    rows = []
+    for n in range(160):
+        own = [f"d{n}_{k}" for k in range(pick.randint(60, 90))]
+        shown = pick.sample(passages, 2)
+        rows.append((len(rows), " ".join(shown[0] + own + shown[1])))
+    for text in near_copies(pick, rows[0][1].split(), 12, 0.008):
+        rows.append((len(rows), text))
+    docs = spark.createDataFrame(rows, SCHEMA)
+    given = jaccard.Settings(settled=1)
+    own = docs.withColumn("within", F.lit(0).cast("long"))
+    groups = docs.select("doc_id", "text")
+    described = jaccard.describe(groups, given)
+    sets = described.where("n_shingles > 0").groupBy("print", "node")
+    groups = sets.agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("size"))
+    cost = np.zeros(jaccard.CELLS, np.int64)
+    before = jaccard.members_of(jaccard.families(own, cost, given), groups)
+    after = jaccard.met_again(docs, before, groups, cost, given, 1)
+    largest = [df.groupBy("family").count().agg(F.max("count")).first()[0] for df in (before, after)]
+    assert largest[1] < largest[0]
+    wanted = brute(rows)
+    for turns in (1, 3):
+        found = jaccard.similar_groups(docs, jaccard.Settings(settled=1, turns=turns)).collect()
+        assert {r["doc_id"]: r["component_id"] for r in found} == wanted
+
+
+def test_blocks_by_elements(spark):
+    """Families are cut by their elements as well as by their sets."""
+    pick = random.Random(12)
+    base = [f"b{k}" for k in range(200)]
+    rows = list(enumerate([*near_copies(pick, base, 30, 0.006), *near_copies(pick, base[::-1], 5, 0.006)]))
+    docs = spark.createDataFrame(rows, SCHEMA)
+    found = jaccard.similar_groups(docs, jaccard.Settings(elements=1000, settled=4)).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == brute(rows)
