@@ -69,49 +69,62 @@ def _safe_odds(p: Column) -> Column:
     return p / (1 - p)
 
 
-def mix(sized: DataFrame, targets: DataFrame, seed: str = "mix", weight: str | None = None) -> DataFrame:
-    """``sized`` with ``source_size``, ``target``, ``copies`` and ``taken`` for every row.
-
-    ``sized`` holds doc_id, source, ``size`` (words) and any further columns;
-    ``targets`` comes from :func:`source_targets`. ``weight`` names a column of
-    relative chances within a source; NULL or negative counts as 0, and without
-    it all are alike. A document gets the whole copies it is due and one more if
-    the ranking takes it, so its words never exceed the copies of its source. The
-    last document of a ranking is taken if that brings the source nearer its
-    target, so the error is at most half a document.
-
-    Repeated rows are documents of their own with equal ranks; ties go by id, then
-    size. Empty documents take no words. A source without words has target 0. No
-    rows give no rows.
-    """
+def ranks(sized: DataFrame, targets: DataFrame, seed: str, weight: str | None) -> DataFrame:
+    """Rows with their ``__rank`` in the source and the ``__cell`` of it, an even share of the source's rows."""
+    given = F.col(weight).cast("double") if weight else F.lit(1.0)
+    new = ("source_size", "target", "copies", "taken")
+    sized = sized.withColumn("__weight", F.greatest(F.coalesce(given, F.lit(0.0)), F.lit(0.0))).drop(*new)
     joined = sized.join(
         targets.withColumnRenamed("source", "__source"), F.col("source").eqNullSafe(F.col("__source")), "inner"
     ).drop("__source")
     due = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    u = uniform(F.col("doc_id"), seed)
+    u = F.col("__u")
     chance = F.col("__chance")
     ranked = (
         joined.withColumn("__whole", F.floor(due))
         .withColumn("__need", F.col("target") - F.col("__whole") * F.col("source_size"))
-        .withColumn("__chance", due - F.col("__whole"))
+        .withColumn("__part", due - F.col("__whole"))
+        .withColumn("__chance", F.col("__part"))
+        .withColumn("__u", uniform(F.col("doc_id"), seed))
     )
     if weight:
-        value = F.greatest(F.coalesce(F.col(weight).cast("double"), F.lit(0.0)), F.lit(0.0))
         totals = sized.groupBy(F.col("source").alias("__source")).agg(
-            F.sum(value * F.col("size")).alias("__weighted")
+            F.sum(F.col("__weight") * F.col("size")).alias("__weighted")
         )
         ranked = ranked.join(totals, F.col("source").eqNullSafe(F.col("__source")), "inner").drop("__source")
         scale = F.when(F.col("__weighted") > 0, F.col("source_size") / F.col("__weighted")).otherwise(0.0)
-        ranked = ranked.withColumn("__chance", chance * value * scale)
-    rank = (
-        F.when(chance >= 1, F.lit(0.0))
-        .when(chance > 0, _safe_odds(u) / _safe_odds(F.least(chance, F.lit(1 - 1e-12))))
-        .otherwise(F.lit(float("inf")))
-    )
-    spread = F.when(F.col("__rank") < 1e300, F.col("__rank") / (1 + F.col("__rank"))).otherwise(F.lit(1.0))
-    ranked = ranked.withColumn("__rank", rank).withColumn(
-        "__cell", F.least(F.floor(spread * CELLS), F.lit(CELLS - 1)).cast("int")
+        ranked = ranked.withColumn("__chance", chance * F.col("__weight") * scale)
+    # Certain rows come first, those without a chance last, both spread by their random numbers. Between them,
+    # times the odds of the source's mean chance, ranks spread like the random numbers again.
+    drawn = (chance > 0) & (chance < 1)
+    rank = F.when(drawn, _safe_odds(u) / _safe_odds(F.least(chance, F.lit(1 - 1e-12)))).otherwise(u)
+    scaled = F.col("__rank") * _safe_odds(F.least(F.col("__part"), F.lit(1 - 1e-12)))
+    cell = (
+        F.when(drawn, F.least(F.floor((1 - 1 / (1 + scaled)) * CELLS), F.lit(CELLS - 1)))
+        .when(chance > 0, F.floor(u * CELLS) - CELLS)
+        .otherwise(F.floor(u * CELLS) + CELLS)
     )
+    return ranked.withColumn("__rank", rank).withColumn("__cell", cell.cast("int"))
+
+
+def mix(sized: DataFrame, targets: DataFrame, seed: str = "mix", weight: str | None = None) -> DataFrame:
+    """``sized`` with ``source_size``, ``target``, ``copies`` and ``taken`` for every row.
+
+    ``sized`` holds doc_id, source, ``size`` (words) and any further columns (those of
+    the four new names give way to the new ones);
+    ``targets`` comes from :func:`source_targets`. ``weight`` names a column of
+    relative chances within a source; NULL or negative counts as 0, which comes last,
+    and without it all are alike. A document gets the whole copies it is due and one more if
+    the ranking takes it, so its words never exceed the copies of its source. The
+    last document of a ranking is taken if that brings the source nearer its
+    target, so the error is at most half a document.
+
+    Repeated rows are documents of their own with equal ranks; ties go by id, then
+    size. Empty documents take no words. A source without words has target 0. No
+    rows give no rows.
+    """
+    own = [name for name in sized.columns if name not in ("source_size", "target", "copies", "taken")]
+    ranked = ranks(sized, targets, seed, weight)
     cells = ranked.groupBy("source", "__cell").agg(F.sum("size").alias("__words"))
     upto = Window.partitionBy("source").orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1)
     offsets = cells.select(
@@ -133,7 +146,7 @@ def mix(sized: DataFrame, targets: DataFrame, seed: str = "mix", weight: str | N
         .withColumn("copies", (F.col("__whole") + F.when(extra, 1).otherwise(0)).cast("long"))
         .withColumn("taken", F.col("copies") * F.col("size"))
     )
-    return mixed.select(*sized.columns, "source_size", "target", "copies", "taken")
+    return mixed.select(*own, "source_size", "target", "copies", "taken")
 
 
 def mix_documents(docs: DataFrame, seed: str = "mix") -> DataFrame:

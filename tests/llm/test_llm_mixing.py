@@ -70,3 +70,25 @@ def test_odd_inputs(spark):
     assert mixing.mix_documents(docs.where("1 = 0")).count() == 0
     words = spark.createDataFrame([(1, " ", "a")], SCHEMA)
     assert [(r["target"], r["taken"]) for r in mixing.mix_documents(words).collect()] == [(0.0, 0)]
+
+
+def test_ranks_of_any_source_spread_over_the_cells(spark):
+    """Stopped sources, sources of tiny and of large shares, certain rows and rows without a chance."""
+    docs = spark.range(20_000).selectExpr("id as doc_id", "'a' as source", "10L as size", "if(id % 2 = 0, 0.0, 1e9) as liked")
+    for target in (600_000.0, 10.0, 199_990.0, 250_000.0):
+        targets = spark.createDataFrame([("a", 200_000, target)], "source string, source_size long, target double")
+        for weight in (None, "liked"):
+            cells = mixing.ranks(docs, targets, "mix", weight).groupBy("__cell").count()
+            assert cells.agg(F.max("count")).first()[0] < 40
+            taken = mixing.mix(docs, targets, weight=weight).agg(F.sum("taken")).first()[0]
+            assert abs(taken - target) <= 5
+
+
+def test_columns_of_the_new_names_give_way(spark):
+    sized = spark.createDataFrame([(1, "a", 5, 0.5, "x")], "doc_id long, source string, size long, target double, taken string")
+    targets = mixing.source_targets(sized)
+    for weight in (None, "target"):
+        row = mixing.mix(sized, targets, weight=weight).collect()
+        assert [r.asDict() for r in row] == [
+            {"doc_id": 1, "source": "a", "size": 5, "source_size": 5, "target": 5.0, "copies": 1, "taken": 5}
+        ]
