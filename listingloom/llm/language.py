@@ -163,8 +163,9 @@ def sample(docs: DataFrame, given: Settings) -> pd.DataFrame:
     """Windows of labelled documents, spread evenly over each whole text.
 
     The documents are those with the lowest hash of their ids in each language,
-    so any engine layout gives the same ones. Ids are picked first, then only
-    their texts are read.
+    so any engine layout gives the same ones. Where languages are so many that
+    ``docs_per_lang`` of each would exceed ``max_docs``, all get an equal share of it, one document
+    at least. Ids are picked first, then only their texts are read.
     """
     known = docs.select("doc_id", "lang", "text").where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull())
     # Of a frequent language only the lower hashes can be picked; twice as many as needed go on.
@@ -172,16 +173,18 @@ def sample(docs: DataFrame, given: Settings) -> pd.DataFrame:
         known.groupBy("lang").agg((F.lit(2.0 * given.docs_per_lang) / F.count(F.lit(1))).alias("__rate")),
         "language-rates",
     )
+    share = max(1, min(given.docs_per_lang, given.max_docs // max(rates.count(), 1)))
     by_hash = Window.partitionBy("lang").orderBy("__key", "doc_id")
     picked = (
         known.select("doc_id", "lang", F.pmod(F.xxhash64("doc_id"), F.lit(2**40)).alias("__key"))
         .join(rates, "lang", "inner")
         .where((F.col("__key") / float(2**40) < F.col("__rate")) | (F.col("__rate") > 0.2))
         .withColumn("__n", F.row_number().over(by_hash))
-        .where(F.col("__n") <= given.docs_per_lang)
+        .where(F.col("__n") <= share)
+        .orderBy("__n", "__key", "doc_id")
+        .limit(given.max_docs)
         .select("doc_id")
         .distinct()
-        .limit(given.max_docs)
     )
     # At most max_docs ids of eight bytes.
     texts = known.join(F.broadcast(picked), "doc_id", "left_semi")

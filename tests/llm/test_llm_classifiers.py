@@ -54,6 +54,49 @@ def test_gradients_equal_differences():
             break
 
 
+def by_loops(net, text):
+    """Mean probabilities of a text: every window, filter, position, byte and width by itself."""
+    data, total = text.encode(), 0
+    widths = [max(k for k in range(net.width) if net.mask.reshape(net.width, -1, net.filters.shape[1])[k, 0, f]) + 1
+              for f in range(net.filters.shape[1])]
+    shape = net.filters.reshape(net.width, -1, net.filters.shape[1])
+    for at in range(0, len(data), net.window):
+        own = list(data[at : at + net.window])
+        cells = own + [language.PAD] * (net.window - len(own) + net.width - 1)
+        hidden = []
+        for f, width in enumerate(widths):
+            answers = [
+                sum(float(net.embedding[cells[p + k]] @ shape[k, :, f]) for k in range(width)) for p in range(net.window)
+            ]
+            hidden.append(max(0.0, max(answers) + float(net.bias[f])))
+        powers = np.exp(np.array(hidden) @ net.out + net.out_bias)
+        total = total + len(own) * powers / powers.sum()
+    return total / len(data)
+
+
+def test_inference_equals_loops(labelled):
+    pick = random.Random(21)
+    given = language.Settings(window=24, filters=3, embedding=4, epochs=2)
+    windows = np.random.default_rng(1).integers(97, 123, (90, 24)).astype(np.int16)
+    net = language.train(windows, np.arange(90) % 3, ["aa", "bb", "cc"], given)
+    texts = [prose(pick, "cc", n) for n in (1, 2, 9, 30)] + ["x", "xyz" * 8, "xyz" * 16]
+    for chunk in (2, 512):
+        langs, scores = language.identify(texts, net, chunk)
+        for text, lang, score in zip(texts, langs, scores):
+            expected = by_loops(net, text)
+            assert lang == net.langs[int(expected.argmax())] and score == pytest.approx(expected.max(), rel=1e-4)
+
+
+def test_sample_of_many_languages(spark):
+    """Each language has its share of the bounded sample, whatever the layout."""
+    rows = [(n, f"word {n}", f"l{n % 40:02}" if n < 4000 else "rare") for n in range(4020)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    given = language.Settings(max_docs=200, docs_per_lang=60)
+    first = language.sample(docs, given)
+    assert first.equals(language.sample(docs.repartition(9), given))
+    assert first.groupby("lang")["doc_id"].nunique().to_dict() == {**{f"l{n:02}": 4 for n in range(40)}, "rare": 4}
+
+
 def test_language_of_held_out_and_odd_texts(spark, labelled):
     net = language.fit(labelled, SMALL)
     assert net.langs == ["aa", "bb", "cc"]
