@@ -62,7 +62,7 @@ class Settings:
     block: int = 512
     elements: int = 1 << 19
     settled: int = 32
-    turns: int = 3
+    turns: int = 2
 
     def differ(self, total: int) -> int:
         """Most elements in which two sets of ``total`` elements together differ."""
@@ -388,8 +388,12 @@ def similar_groups(docs: DataFrame, given: Settings = Settings()) -> DataFrame:
     cost = costs(described)
     started = own.where("doc_id is not null").select("text", F.lit(0).cast("long").alias("within"))
     members = members_of(families(started, cost, given), groups)
+    # From here on only texts of sets that have met are moved; of those in large families first, then of what is left.
+    texts = own.join(members.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    if given.turns > 1:
+        texts = stage(texts, "jaccard-texts")
     for turn in range(1, given.turns):
-        members = met_again(own, members, groups, cost, given, turn)
+        members = met_again(texts, members, groups, cost, given, turn)
     blocks = members.groupBy("family").agg(
         F.ceil(
             F.greatest(F.count(F.lit(1)) / F.lit(given.block), F.sum("size") / F.lit(given.elements))
@@ -401,7 +405,6 @@ def similar_groups(docs: DataFrame, given: Settings = Settings()) -> DataFrame:
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select("rep", "family", "own", F.least("own", "other").alias("first"), F.greatest("own", "other").alias("second"))
     )
-    texts = own.join(members.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
     links = (
         texts.join(dealt, texts["doc_id"] == dealt["rep"], "inner")
         .select("rep", "family", "own", "first", "second", "text")
