@@ -28,6 +28,10 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 #: Bytes of a range, of a block read at once, and of the longest element.
 RANGE_BYTES, BLOCK_BYTES, LONGEST = 64 << 20, 4 << 20, 256 << 20
+LEAST_BLOCK = 4 << 10
+#: Short ranges of all files together, but for one more a file: where there would be more they are
+#: made longer, up to RANGE_BYTES, so that a task has more to do than to start.
+MOST_RANGES = 256
 #: Elements handed to Spark at once, by their bytes.
 BATCH_BYTES = 4 << 20
 
@@ -239,7 +243,9 @@ class RangeReader(DataSourceReader):
             text = file.read_at(part.size, 0).removeprefix(BOM).strip(SPACE)
             found = iter([(0, text)] if text else [])
         else:
-            blocks = read_blocks(file, part.start, part.size)
+            # Hardly more than the range: its last element seldom ends far behind it.
+            block = min(BLOCK_BYTES, max(part.end - part.start, LEAST_BLOCK))
+            blocks = read_blocks(file, part.start, part.size, block)
             state = State(part.in_string, part.depth)
             found = split_elements(blocks, part.end, state, escaped_at(file, part.start))
         rows, size = [], 0
@@ -292,13 +298,15 @@ def read_elements(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES
 
     Files up to one range are read once, longer ones twice. What reaches the driver
     is the file listing and four numbers per range. A file that is no array is one
-    element, so it is one task.
+    element, so it is one task. Ranges are longer than ``range_bytes`` (up to
+    ``RANGE_BYTES``) where there would be more than ``MOST_RANGES``.
     """
     spark.dataSource.register(JsonArraySource)
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     files = {row["path"]: row["length"] for row in listed.select("path", "length").collect() if row["length"]}
     if not files:
         return spark.createDataFrame([], ELEMENTS)
+    range_bytes = max(range_bytes, min(RANGE_BYTES, -(-sum(files.values()) // MOST_RANGES)))
     source = spark.read.format("json_array").option("rangeBytes", range_bytes)
     long = {name: size for name, size in files.items() if size > range_bytes}
     states: dict = {}

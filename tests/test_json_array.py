@@ -108,3 +108,40 @@ def test_same_rows_as_the_multi_line_reader(spark, tmp_path):
     ours = json_array.read_json_array(spark, str(path), SCHEMA, feeds.CORRUPT, range_bytes=777).select("a", "b")
     theirs = spark.read.schema(SCHEMA).option("multiline", True).json(str(path))
     assert sorted(map(tuple, ours.collect())) == sorted(map(tuple, theirs.collect()))
+
+
+def test_a_range_reads_little_more_than_its_bytes(spark, tmp_path, monkeypatch):
+    """64 ranges of a file read about twice the file, not each the megabytes behind it."""
+    path = tmp_path / "x.json"
+    path.write_text(json.dumps([{"a": n, "b": "x" * 50} for n in range(60_000)]))
+    size, taken = path.stat().st_size, []
+
+    class Counted:
+        def __init__(self, file):
+            self.file = file
+
+        def read_at(self, length, at):
+            taken.append(length)
+            return self.file.read_at(length, at)
+
+    with json_array.open_file(str(path)) as file:
+        counted, found = Counted(file), 0
+        step = size // 64 + 1
+        states = [State()]
+        for start in range(0, size, step):
+            blocks = (b for _, b in json_array.read_blocks(file, start, min(start + step, size)))
+            states.append(json_array.summarize(blocks, json_array.escaped_at(file, start)).after(states[-1]))
+        reader = json_array.RangeReader({"files": "{}"})
+        for state, start in zip(states, range(0, size, step)):
+            part = json_array.Range(str(path), start, min(start + step, size), size, *state)
+            found += sum(batch.num_rows for batch in reader._elements(counted, part))
+    assert found == 60_000 and sum(taken) < 6 * size
+
+
+def test_ranges_are_bounded_in_number(spark, tmp_path, monkeypatch):
+    path = tmp_path / "x.json"
+    path.write_text(json.dumps([{"a": n, "b": "[\\\"" * (n % 7)} for n in range(3000)]))
+    monkeypatch.setattr(json_array, "MOST_RANGES", 20)
+    assert json_array.read_elements(spark, str(path), 100).rdd.getNumPartitions() <= 20
+    rows = json_array.read_json_array(spark, str(path), SCHEMA, feeds.CORRUPT, 100).select("a", "b").collect()
+    assert {r["a"]: r["b"] for r in rows} == {n: "[\\\"" * (n % 7) for n in range(3000)} and len(rows) == 3000
