@@ -112,3 +112,34 @@ def test_views_and_top_lists(spark, tables):
     for view in ("vw_dm_category_performance", "vw_dm_pipeline_health_daily", "vw_pipeline_quality_runs",
                  "vw_pipeline_failure_rate", "vw_dm_price_daily"):
         assert spark.newSession().table(f"global_temp.{view}").count() > 0
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_daily_sums_are_exact_for_long_and_negative_amounts(spark):
+    amounts = ["-123456789012345.123456", "999999999999999.999999", "0.000001", "-0.99", "1000000000", None]
+    rows = spark.createDataFrame(
+        [(n, a) for n, a in enumerate(amounts)] + [(0, "99999999999999999.5")], "product_id int, a string"
+    ).withColumn("processed_time", F.lit("2024-01-01").cast("timestamp_ntz"))
+    money = [F.col("a").cast("decimal(28,6)").alias(m) for m in ("price", "final_price", "discount_percent")]
+    snapshot = rows.select("product_id", "processed_time", *money, F.col("product_id").cast("bigint").alias("sold_qty"))
+    mapping = spark.createDataFrame([(n, 1) for n in range(6)] + [(0, 1)], "product_id int, category_id int")
+    sums = marts.daily_sums(mapping, snapshot)
+    got = sums.first()
+    known = [Decimal(a) for a in amounts if a]
+    assert got["price_sum"] == sum(known) + known[0] + 2 * Decimal("99999999999999999.5") and got["price_n"] == 8
+    assert got["sold_qty_sum"] == 15 and got["total_products"] == 6
+    # Behind the join only whole numbers are added.
+    assert "_parts" in plan_of(sums)
+
+
+def test_views_count_products_without_a_copy_of_the_rows(spark, tables):
+    from listingloom.plans.mart_views import mart_views
+
+    for name, df in tables.items():
+        df.createOrReplaceTempView(f"plain_{name}")
+    for name in ("vw_dm_price_daily", "vw_dm_category_performance"):
+        text = mart_views(["price"])[name].sql.format_map({t: f"plain_{t}" for t in tables})
+        assert "Expand" not in plan_of(spark.sql(text)) and "distinct m.product_id" not in text and "distinct s.product_id" not in text
