@@ -8,11 +8,20 @@ alone; no old row is read again.
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from listingloom.storage import stage
 
+# Executors get the functions themselves, so they need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: Parts in which new ids are numbered, each for itself.
 SHARDS = 256
 BUCKET, BITMAP = "_bucket", "_bitmap"
@@ -77,3 +86,24 @@ def counts(states: DataFrame, by: list[str], names: dict[str, str] | None = None
     return joined.groupBy(*by).agg(
         *[F.sum(F.bitmap_count(bitmap)).cast("bigint").alias(name) for bitmap, name in names.items()]
     )
+
+
+def without(states: DataFrame, names: list[str], off: str) -> DataFrame:
+    """``states`` with the numbers of bitmap ``off`` taken out of the bitmaps ``names``; ``off`` itself goes."""
+    kept = [c for c in states.columns if c not in (*names, off)]
+
+    def cleared(own: bytes | None, gone: bytes | None) -> bytes | None:
+        if own is None or gone is None:
+            return own
+        return (np.frombuffer(own, np.uint8) & ~np.frombuffer(gone, np.uint8)).tobytes()
+
+    def clear(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, 1024):
+                batch = whole.slice(start, 1024)
+                gone = batch.column(off).to_pylist()
+                left = [pa.array(map(cleared, batch.column(n).to_pylist(), gone), pa.binary()) for n in names]
+                yield pa.RecordBatch.from_arrays([*map(batch.column, kept), *left], [*kept, *names])
+
+    types = [f"`{c}` {states.schema[c].dataType.simpleString()}" for c in (*kept, *names)]
+    return states.select(*kept, *names, off).mapInArrow(clear, ", ".join(types))

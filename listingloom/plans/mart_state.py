@@ -21,9 +21,11 @@ DAY = "snapshot_date"
 
 
 class MartState:
-    """Tables below ``root``: ``ids`` (product numbers), and by batch ``days``, ``seen``, ``stock`` and ``sums``.
+    """Tables below ``root``: ``ids`` (product numbers), and by batch ``days``, ``seen``, ``filed`` and ``sums``.
 
     ``mapped`` holds the products of each category; what it has been given stays.
+    ``seen`` holds a day's products, and which of them were in or out of stock, once
+    for all categories; ``filed`` holds the categories that a batch was filed under.
     """
 
     def __init__(self, spark: SparkSession, root: str) -> None:
@@ -38,6 +40,8 @@ class MartState:
         return self.spark.read.parquet(f"{self.root}/{name}")
 
     def _needed(self, name: str) -> DataFrame:
+        if self._table("stock") is not None:
+            raise ValueError(f"{self.root} is of an earlier layout (stock by category): add its days to a new state")
         found = self._table(name)
         if found is None:
             raise ValueError(f"nothing has been added to {self.root}")
@@ -72,7 +76,6 @@ class MartState:
             product_snapshot.where(F.col("processed_time").isNotNull()).withColumn(DAY, F.to_date("processed_time")), "mart-days"
         )
         numbers = self._numbers(rows.select("product_id"))
-        numbered = rows.select("product_id", DAY).distinct().join(numbers, "product_id", "inner")
         categories = product_category_map.select("product_id", "category_id").distinct()
         last = (
             latest_all_ties(rows, ["product_id", DAY], "processed_time")
@@ -80,10 +83,10 @@ class MartState:
             .agg(F.bool_or("stock_available").alias("has"), F.bool_or(~F.col("stock_available")).alias("lacks"))
             .join(numbers, "product_id", "inner")
         )
-        stock = {"in_stock": F.col("has"), "out_stock": F.col("lacks")}
+        tests = {ds.BITMAP: F.lit(True), "in_stock": F.col("has"), "out_stock": F.col("lacks")}
         states = {
-            "seen": ds.seen(numbered, [DAY], "number"),
-            "stock": ds.seen(last.join(categories, "product_id", "inner"), [DAY, "category_id"], "number", stock),
+            "seen": ds.seen(last, [DAY], "number", tests),
+            "filed": ds.seen(categories.join(numbers, "product_id", "inner"), ["category_id"], "number"),
             "sums": marts.daily_sums(product_category_map, rows),
             "days": rows.select(DAY).distinct(),
         }
@@ -102,21 +105,23 @@ class MartState:
     def category_stock(self, categories: DataFrame) -> DataFrame:
         """The three product counts of the category performance mart.
 
-        A product counts on the last day that saw it. With L the products seen on
-        later days, a day's own are those in B or L less those in L, so OR and
-        counting are all it takes.
+        A product counts on the last day that saw it: a day's bitmaps lose the products
+        seen on later days, and what is left of a batch's days is joined by OR before it
+        meets the categories that the batch was filed under.
         """
-        by_day = ds.merged(self._by_day("seen"), [DAY])
-        later = Window.partitionBy(ds.BUCKET).orderBy(F.desc(DAY)).rowsBetween(Window.unboundedPreceding, -1)
-        seen_later = by_day.select(DAY, ds.BUCKET, F.bitmap_or_agg(ds.BITMAP).over(later).alias("later"))
         names = {"in_stock": "in_stock_products", "out_stock": "out_stock_products"}
-        stock = self._by_day("stock").join(seen_later, [DAY, ds.BUCKET], "inner")
-        both = stock.select(
-            DAY, "category_id", ds.BUCKET, F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).alias("own")) for n in names])).alias("of"), "later"
-        ).select(DAY, "category_id", ds.BUCKET, "of.name", F.explode(F.array("of.own", "later")).alias(ds.BITMAP), F.bitmap_count("later").alias("off"))
+        by_day = self._needed("seen").join(self._days(), [DAY, "batch"], "left_semi")
+        later = Window.partitionBy(ds.BUCKET).orderBy(F.desc(DAY)).rowsBetween(Window.unboundedPreceding, -1)
+        seen_later = by_day.select("batch", ds.BUCKET, *names, F.bitmap_or_agg(ds.BITMAP).over(later).alias("later"))
+        own = ds.merged(ds.without(seen_later, list(names), "later"), ["batch"], list(names))
+        filed = self._needed("filed").join(own, ["batch", ds.BUCKET], "inner")
+        pairs = F.array(*[F.struct(F.lit(n).alias("name"), F.array(n, ds.BITMAP).alias("pair")) for n in names])
+        both = filed.select("batch", "category_id", ds.BUCKET, F.explode(pairs).alias("of")).select(
+            "batch", "category_id", ds.BUCKET, "of.name", F.explode("of.pair").alias(ds.BITMAP)
+        )
         only_here = (
-            both.groupBy(DAY, "category_id", ds.BUCKET, "name")
-            .agg((F.bitmap_count(F.bitmap_or_agg(ds.BITMAP)) - F.coalesce(F.max("off"), F.lit(0))).alias("here"))
+            both.groupBy("batch", "category_id", ds.BUCKET, "name")
+            .agg(F.bitmap_count(F.bitmap_and_agg(ds.BITMAP)).alias("here"))
             .groupBy("category_id")
             .agg(*[F.sum(F.when(F.col("name") == n, F.col("here"))).alias(total) for n, total in names.items()])
         )

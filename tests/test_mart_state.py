@@ -117,3 +117,29 @@ def test_views_that_read_one_another_or_nothing_known():
     with pytest.raises(ValueError, match="gone"):
         in_order({"a": View("", ("gone",))}, {"here"})
     assert in_order({"b": View("", ("a", "t")), "a": View("", ("t",))}, {"t"}) == ["a", "b"]
+
+
+def test_stock_is_kept_once_for_all_categories(spark, tmp_path, rows):
+    """A batch counts under the categories it was filed under, and its bitmaps do not multiply with them."""
+    snapshot = spark.createDataFrame(
+        [(1, "2024-01-01", True), (2, "2024-01-01", True), (1, "2024-01-02", False), (1, "2024-01-02", True), (3, "2024-01-02", None)],
+        "product_id int, t string, stock_available boolean",
+    ).select(
+        "product_id", F.col("t").cast("timestamp_ntz").alias("processed_time"), "stock_available", F.lit(1).cast("bigint").alias("sold_qty"),
+        *[F.lit("1.00").cast("decimal(18,2)").alias(c) for c in ("price", "final_price", "discount_percent")],
+    )
+    first = spark.createDataFrame([(p, c) for p in (1, 2, 3) for c in range(40)], "product_id int, category_id int")
+    second = spark.createDataFrame([(1, 40), (3, 40)], "product_id int, category_id int")
+    state = MartState(spark, str(tmp_path))
+    state.add_categories(first.union(second))
+    state.add_days(snapshot.where("processed_time < '2024-01-02'"), first)
+    state.add_days(snapshot.where("processed_time >= '2024-01-02'"), second)
+    categories = spark.range(41).selectExpr("cast(id as int) category_id", "'c' category_name")
+    # Product 2 was last seen in the first batch, 1 and 3 in the second, 3 without any word on its stock.
+    assert rows(state.category_stock(categories)) == rows(
+        spark.createDataFrame([(c, "c", 3, 1, 0) for c in range(40)] + [(40, "c", 2, 1, 1)])
+    )
+    assert spark.read.parquet(str(tmp_path / "seen")).count() == 2
+    spark.range(1).write.parquet(str(tmp_path / "stock" / "batch=1"))
+    with pytest.raises(ValueError, match="earlier layout"):
+        state.category_stock(categories)
