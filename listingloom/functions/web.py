@@ -40,6 +40,11 @@ def absolute_url(href: Column, base: str) -> Column:
     return non_empty(link)
 
 
+def visible_link(href: Column) -> Column:
+    """``href`` where :func:`absolute_url` makes a link of it, else NULL."""
+    return F.when(href.rlike(r"[^\x00-\x20]"), href)
+
+
 def url_tail(url: Column) -> Column:
     """Last path segment, ignoring slashes at the end."""
     return non_empty(F.element_at(F.split(F.regexp_replace(url, r"/+$", ""), "/"), -1))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +18,7 @@ from listingloom.functions.web import (
     non_empty,
     sold_out_flag,
     url_tail,
+    visible_link,
 )
 from listingloom.operators.dedup import first_wins
 from listingloom.sources.html_cards import CardSpec, extract_cards
@@ -124,10 +127,11 @@ def clean_cards(cards: DataFrame, base_url: str) -> DataFrame:
     """Raw card fields, whichever are there, as typed product columns.
 
     Fields of one prefix are alternatives in column order: ``name*``, ``link*``
-    and ``image*`` each give the first one filled.
+    and ``image*`` each give the first one filled. The link is chosen before it is
+    cleaned, and read by a step of its own, so that each row's is cleaned once.
     """
     link_names = [c for c in cards.columns if c.startswith("link")]
-    url = F.coalesce(*[absolute_url(F.col(c), base_url) for c in link_names])
+    url = absolute_url(F.coalesce(*[visible_link(F.col(c)) for c in link_names]), base_url)
     image = first_filled(_first_of(cards, "image_"), _optional(cards, "view_style", css_image))
     name = F.regexp_replace(_first_of(cards, "name_"), r"^\s+|\s+$", "")
     own_id = first_filled(
@@ -135,12 +139,11 @@ def clean_cards(cards: DataFrame, base_url: str) -> DataFrame:
         _optional(cards, "product_id_text", non_empty),
     )
     has_cart = "cart_call" in cards.columns
-    return cards.withColumns(
+    linked = cards.withColumns({"product_name": name, "product_url": url})
+    return linked.withColumns(
         {
-            "product_name": name,
-            "product_url": url,
             "image_url": absolute_url(image, base_url),
-            "product_id": F.coalesce(own_id, url_tail(url)) if has_cart else own_id,
+            "product_id": F.coalesce(own_id, url_tail(F.col("product_url"))) if has_cart else own_id,
             "price": _optional(cards, "price_text", digits_price),
             "original_price": _optional(cards, "old_price_text", digits_price),
             "discount": _optional(cards, "discount_text", first_number),
@@ -159,17 +162,19 @@ def shop_products(pages: DataFrame, shop: Shop, html: str = "html") -> DataFrame
     about = ["standard_category", "source_category_name", "source_category_url"]
     crawl = ["crawl_page", "crawl_time"]
     cards = extract_cards(pages, shop.spec, ["page_id", *about, *crawl], html)
-    named = clean_cards(cards, shop.base_url).filter(non_empty(_first_of(cards, "name_")).isNotNull())
-    key = (
-        F.col("product_url")
-        if shop.dedup_by_url_only
-        else first_filled(F.col("product_url"), F.col("product_name"))
-    )
+    named = cards.filter(_first_of(cards, "name_").isNotNull())
+    key = F.col("product_url")
+    if not shop.dedup_by_url_only:
+        # Cards that would have no key go before anything of them is cleaned.
+        links = [visible_link(F.col(c)).isNotNull() for c in cards.columns if c.startswith("link")]
+        has_name = _first_of(cards, "name_").rlike(r"\S")
+        named = named.filter(F.col("page_id").isNotNull() & reduce(or_, [*links, has_name]))
+        key = first_filled(key, F.col("product_name"))
     kept = first_wins(
-        named.withColumn("_card_key", key),
+        clean_cards(named, shop.base_url).withColumn("_card_key", key),
         ["page_id", "_card_key"],
         [F.col("pos")],
-        drop_null_keys=not shop.dedup_by_url_only,
+        drop_null_keys=False,
     )
     nothing = F.lit(None)
     return kept.select(

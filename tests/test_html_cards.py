@@ -6,6 +6,7 @@ from html.parser import HTMLParser
 
 import pytest
 
+from listingloom.sources import html_cards
 from listingloom.sources.html_cards import HIDDEN, SELF_CLOSING, VOID_TAGS, CardSpec, _step, extract_cards
 
 
@@ -144,3 +145,51 @@ def test_time_is_that_of_the_page(spark, piece):
     started = time.time()
     extract_cards(df, SPECS[1], []).count()
     assert time.time() - started < 15
+
+
+ODD = [
+    '<div class="c">', "<DIV CLASS='c x'>", "<p>", "<li class=c>", '<a href="/a/b">', "<a href='/a?x=1&amp;y'", '<a title="a<b>c">',
+    '<a title="a', '"', "'", ">", "<", "/>", "<br/>", "<br />", "<script>", "<script>if (a < b & c) {}</Script >", "</script>",
+    "<STYLE>x</style>", "<!-- a - b -->", "<!-- c", "-->", "<!--->", "<!DOCTYPE html>", "<!", "<?php", "<![CDATA[", "]]>", "</", "</>",
+    "</p>", "</div>", "</a >", '</b x="1">', "&", "&amp;", "&lt", "&am", "text", " ", "\n", '<i class="x"/>', "<b\x0bc>", "<é>", '<a é="1">',
+    "<title>x &amp; y</title>", "<title>", "<textarea>q</textarea>", '<td\n\tid="1"  class="n"\r>', '<tr a="1"b="2">', "<x-y>", "<plaintext>",
+    "<input disabled>", "<a href=/a/b/>", '<a b="1" c d=x/>', '<a class="c" class="n">', "<a href=''>", "\x1c", "=", 'x="1"', "<script/>",
+]
+
+
+@pytest.mark.parametrize("number", range(3))
+def test_plain_markup_is_read_as_the_parser_reads_it(number):
+    pick, spec = random.Random(number), SPECS[number]
+    names = [selector for selector, _ in spec.fields.values() if selector]
+    selectors = html_cards._Selectors([spec.cards, spec.link_fallback or "", *names])
+
+    def seen(reader):
+        cards = [
+            (n, c.element.attrs, c.element.pieces, [h and (h.attrs, h.pieces) for h in c.hits]) for n, c in reader.cards.items()
+        ]
+        return cards, reader.fallback, reader.texts, reader.count
+
+    for _ in range(3000):
+        markup = "".join(pick.choices(ODD, k=pick.randrange(40)))
+        parsed = html_cards._CardReader(selectors, len(names), -1)
+        parsed.feed(markup)
+        parsed.finish()
+        read = html_cards._CardReader(selectors, len(names), -1)
+        read.read(markup)
+        assert seen(read) == seen(parsed), markup
+
+
+def test_plain_markup_needs_no_parser(monkeypatch):
+    """Python's parser takes several times as long for a tag; a common page must not need it."""
+    fed = []
+    monkeypatch.setattr(HTMLParser, "feed", lambda self, data: fed.append(data))
+    page = (
+        "<!DOCTYPE html><html><head><title>T &amp; u</title><script src='a.js'>if (a < b) {}</script></head><!-- c --><body>"
+        '<LI class="c x" data-id=7 hidden>t &lt; u<br/><img src="i.jpg" /><a href=\'/a?x&amp;y\'>A</a></LI></body></html>'
+    )
+    reader = html_cards._CardReader(html_cards._Selectors([".c", "", "a[href]"]), 1, -1)
+    reader.read(page)
+    assert fed == []
+    (card,) = reader.cards.values()
+    assert card.element.attrs == {"class": "c x", "data-id": "7", "hidden": ""}
+    assert card.element.pieces == ["t < u", "A"] and card.hits[0].attrs == {"href": "/a?x&y"}

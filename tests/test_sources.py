@@ -151,6 +151,24 @@ def test_vinabook_cards(spark):
     assert got[1]["image_url"] == "https://www.vinabook.com/l.jpg"
 
 
+@pytest.mark.parametrize("shop", [shop_pages.VINABOOK, shop_pages.BOOKBUY, shop_pages.PHUONGNAM])
+def test_links_are_cleaned_once(spark, shop):
+    """Not again in each filter and column that rests on them: once the card's link, once its image."""
+    rows = shop_pages.shop_products(spark.createDataFrame([], PAGE), shop)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert 1 <= plan.count("(?=[/?#])") <= 2
+
+
+def test_blank_links_are_none(spark):
+    """A link of blanks leaves the word to the next one; a card with neither link nor name is none."""
+    card = '<li class="product-item"><p class="pro-name"><a href="{h}" title="{t}"></a></p><a href="{p}"></a></li>'
+    got = shop_rows(
+        spark, shop_pages.VINABOOK,
+        card.format(h=" \t", t="A", p="/products/1") + card.format(h=" ", t=" ", p="") + card.format(h="", t=" B ", p=""),
+    )
+    assert [(r["product_name"], r["product_url"]) for r in got] == [("B", None), ("A", "https://www.vinabook.com/products/1")]
+
+
 def test_vinabook_falls_back_to_links(spark):
     markup = '<div><div><div><a href="/products/q"><img alt="Q"></a></div></div></div>'
     got = shop_rows(spark, shop_pages.VINABOOK, markup)
