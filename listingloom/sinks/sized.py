@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from listingloom.storage import work_dir
+from listingloom.storage import stage, work_dir
 
 TARGET_BYTES = 256 << 20
 _PLACE, _PIECE = "_place", "_piece"
@@ -59,7 +59,8 @@ def compact(spark: SparkSession, folder: str, path: str, target_bytes: int = TAR
     table's size: that task sorts the whole table, so it is for exports whose size
     is known to suit one machine. An empty table becomes an empty table.
     """
-    parts = measured_parts(spark, folder)
+    # Stored, so that Spark sees how small it is and sends it to the rows; they would be shuffled by file to meet it.
+    parts = stage(measured_parts(spark, folder), "sized-places")
     columns = spark.read.parquet(folder).columns
     total = parts.agg(F.sum("bytes")).first()[0] or 0
     if not total:

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from listingloom.operators import normalize
+from listingloom.sinks import sized
 from listingloom.sinks.sized import compact, measured_parts, write_sized
 from listingloom.sources import feeds, variant_feed
 from tests.test_processing import RUN_TS
@@ -36,6 +37,25 @@ def test_one_file_and_no_rows(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "none")).columns == ["id", "text", "kind"]
 
 
+def test_rows_are_not_shuffled_to_meet_their_places(spark, tmp_path, monkeypatch):
+    plans, write = [], sized._write_pieces
+
+    def seen(placed, *rest):
+        plans.append(placed._jdf.queryExecution().executedPlan().toString())
+        write(placed, *rest)
+
+    monkeypatch.setattr(sized, "_write_pieces", seen)
+    # To Spark this table is too large to be broadcast, as one of many gigabytes is by default.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100k")
+    try:
+        write_sized(made(spark, 40_000, 6), str(tmp_path / "out"), 400_000)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # The trial and the whole table.
+    assert len(plans) == 2
+    assert not any("hashpartitioning" in plan for plan in plans)
+
+
 def test_records_of_any_form(spark, tmp_path):
     lines = [
         json.dumps({"product_id": 1, "product_name": "Number", "price": 89000, "stock_available": True}),
