@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from listingloom import schemas
@@ -82,43 +82,89 @@ def catalog_envelope(responses: DataFrame, body: str, source_name: str, run_id:
     )
 
 
+# Fixed values. From so many categories on, one in LANDMARK_SHARE is a landmark. Of a path of 8 times that
+# many, 2^LANDMARK_ROUNDS, all but three in ten thousand hold one; the others are followed on like landmarks.
+LANDMARKS_FROM = 250_000
+LANDMARK_SHARE = 16
+LANDMARK_ROUNDS = 7
+
+
 def category_depths(nodes: DataFrame) -> DataFrame:
     """``category_id`` and ``depth`` (steps to the nearest root) of every category below a root.
 
     Pointers double: after round k each open category points at its ancestors
-    2^k steps up. Where such an ancestor's depth is known, so is its own; all
-    others take over the pointers of the ancestors they point at. So a chain of n
-    categories takes log n rounds. What is open after pointers longer than there
-    are categories hangs on a cycle, or on a parent that is no category, and has no
-    depth. Each round is stored, as the next one reads it twice.
+    2^k steps up, or has come to its root. So a chain of n categories takes log n
+    rounds. What is open after pointers longer than there are categories hangs on a
+    cycle, or on a parent that is no category, and has no depth.
+
+    Where the categories are many, a fixed number of rounds takes all of them to the
+    nearest landmarks above, and only the landmarks go on to the roots. So what is
+    joined as a whole is joined a fixed number of times, however deep the tree.
     """
-    ids = nodes.where("category_id is not null")
-    known = stage(
-        ids.where("parent_id is null").select("category_id", F.lit(0).cast("long").alias("depth")).distinct(), "tree-depths"
-    )
-    links = ids.where("parent_id is not null and parent_id <> category_id")
-    jumps = stage(
-        links.select("category_id", F.col("parent_id").alias("above"))
-        .distinct()
-        .join(known.select("category_id"), "category_id", "left_anti"),
-        "tree-jumps",
-    )
-    most = ids.select("category_id").distinct().count()
-    step = 1
-    while step <= most and not jumps.isEmpty():
-        up = known.select(F.col("category_id").alias("above"), (F.col("depth") + step).alias("depth"))
-        reached = stage(
-            jumps.join(up, "above", "inner").groupBy("category_id").agg(F.min("depth").alias("depth")), "tree-reached"
+    ids = nodes.where("category_id is not null and (parent_id is null or parent_id <> category_id)")
+    # Of one type with the ids, so that both ends of a pointer hash alike.
+    above = F.col("parent_id").cast(nodes.schema["category_id"].dataType).alias("above")
+    own = F.when(F.col("parent_id").isNull(), 0).otherwise(1).cast("long").alias("step")
+    pointers = stage(ids.select("category_id", above, own).distinct(), "tree-jumps")
+    count = pointers.agg(F.count_distinct("category_id").alias("ids"), F.count(F.lit(1)).alias("rows")).first()
+    several = count["rows"] > count["ids"]
+    if count["ids"] < LANDMARKS_FROM:
+        return _depths(_doubled(pointers, _is_open(), count["ids"].bit_length(), several, "tree-reached"))
+    going_on = _is_open() & ~_is_landmark("above")
+    near = _doubled(pointers, going_on, LANDMARK_ROUNDS, several, "tree-jumps")
+    left = near.where(going_on)
+    # Neither end of a pointer that has met no landmark can be left out.
+    ends = left.select("category_id").union(left.select("above")).distinct()
+    others = near.where(~_is_landmark("category_id")).join(ends, "category_id", "left_semi")
+    kept = stage(near.where(_is_landmark("category_id")).unionByName(others), "tree-landmarks")
+    roots = _doubled(kept, _is_open(), kept.count().bit_length(), several, "tree-reached")
+    depths = stage(_depths(roots), "tree-landmarks")
+    rest = near.where(_is_open()).join(depths.withColumnRenamed("category_id", "above"), "above")
+    through = rest.select("category_id", (F.col("step") + F.col("depth")).alias("depth"))
+    found = near.where(~_is_open()).select("category_id", F.col("step").alias("depth"))
+    return found.unionByName(through).groupBy("category_id").agg(F.min("depth").alias("depth"))
+
+
+def _is_open() -> Column:
+    return F.col("above").isNotNull()
+
+
+def _is_landmark(category: str) -> Column:
+    return F.pmod(F.xxhash64(category), F.lit(LANDMARK_SHARE)) == 0
+
+
+def _depths(pointers: DataFrame) -> DataFrame:
+    """Depths of the categories that have come to a root."""
+    return pointers.where(~_is_open()).groupBy("category_id").agg(F.min("step").alias("depth"))
+
+
+def _doubled(pointers: DataFrame, going_on: Column, rounds: int, several: bool, label: str) -> DataFrame:
+    """Pointers that go on take over those of the category they point at, ``rounds`` times.
+
+    Each round is stored, as the next one reads it more than once. Of ``several``
+    parents those are dropped that lead no nearer to a root than one that is found.
+    """
+    for _ in range(rounds):
+        ahead = pointers.where(going_on)
+        if ahead.isEmpty():
+            break
+        further = pointers.select(
+            F.col("category_id").alias("above"), F.col("above").alias("further"), F.col("step").alias("more")
         )
-        still = jumps.join(reached.select("category_id"), "category_id", "left_anti")
-        further = jumps.select(F.col("category_id").alias("above"), F.col("above").alias("further"))
-        jumps = stage(
-            still.join(further, "above", "inner").select("category_id", F.col("further").alias("above")).distinct(),
-            "tree-jumps",
+        moved = ahead.join(further, "above").select(
+            "category_id", F.col("further").alias("above"), (F.col("step") + F.col("more")).alias("step")
         )
-        known = known.unionByName(reached)
-        step *= 2
-    return known
+        moved = pointers.where(~going_on).unionByName(moved)
+        if several:
+            at_root = F.when(~_is_open(), F.col("step"))
+            moved = (
+                moved.withColumn("found", F.min(at_root).over(Window.partitionBy("category_id")))
+                .where(~_is_open() | F.col("found").isNull() | (F.col("step") < F.col("found")))
+                .groupBy("category_id", "above")
+                .agg(F.min("step").alias("step"))
+            )
+        pointers = stage(moved, label)
+    return pointers
 
 
 def flatten_category_tree(nodes: DataFrame) -> DataFrame:

@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -217,6 +218,50 @@ def test_long_chain_takes_rounds_by_its_logarithm(spark, monkeypatch):
     assert rounds.count("tree-reached") == 17
 
 
+def test_landmarks_bound_the_rounds_over_all_categories(spark, monkeypatch):
+    """However long the chain, a fixed number of rounds joins more than a sixth of it."""
+    sizes = []
+    kept = payloads.stage
+
+    def noted(df, label):
+        stored = kept(df, label)
+        sizes.append(stored.count())
+        return stored
+
+    monkeypatch.setattr(payloads, "stage", noted)
+    monkeypatch.setattr(payloads, "LANDMARKS_FROM", 1, raising=False)
+    for n in (3_000, 30_000):
+        sizes.clear()
+        chain = spark.range(n).selectExpr(
+            "concat('n', id) category_id", "'x' category_name", "'k' url_key", "case when id > 0 then concat('n', id - 1) end parent_id"
+        )
+        ring = spark.range(3).selectExpr("concat('r', id)", "'ring'", "'k'", "concat('r', (id + 1) % 3)")
+        depths = payloads.category_depths(chain.union(ring))
+        assert depths.count() == n and depths.where("category_id <> concat('n', depth)").isEmpty()
+        assert sum(size > n / 6 for size in sizes) <= 8
+
+
+@pytest.mark.parametrize("landmarks_from", [1, 10**9])
+@pytest.mark.parametrize("parents", [1, 2, 3])
+def test_depths_are_those_of_a_walk_from_the_roots(spark, monkeypatch, parents, landmarks_from):
+    """Trees, lattices with shortcuts, cycles, roots with parents, parents that are nowhere, ids given as numbers."""
+    monkeypatch.setattr(payloads, "LANDMARKS_FROM", landmarks_from, raising=False)
+    monkeypatch.setattr(payloads, "LANDMARK_ROUNDS", 2, raising=False)
+    pick = random.Random(parents)
+    rows = {(i, pick.randrange(max(i - 6, 0), i)) for i in range(1, 400) for _ in range(parents)} | {(0, None), (200, None)}
+    rows |= {(i, 500 + (i + 1) % 9) for i in range(500, 509)} | {(600, 601), (602, 600), (503, 503)}
+    if parents > 1:
+        rows |= {(0, 399), (504, 300), (100, 380), (610, 504)}
+    expected, edge = {0: 0, 200: 0}, {0, 200}
+    while edge:
+        edge = {c for c, p in rows if p in edge} - set(expected)
+        expected.update(dict.fromkeys(edge, max(expected.values()) + 1))
+    # Parents of another type of number meet the ids all the same.
+    shape = "category_id bigint, category_name string, url_key string, parent_id int"
+    nodes = spark.createDataFrame([(c, "x", "k", p) for c, p in sorted(rows, key=str)], shape)
+    assert {r["category_id"]: r["depth"] for r in payloads.category_depths(nodes).collect()} == expected
+
+
 def test_several_parents_blank_ids_and_no_rows(spark):
     rows = [
         ("r", "R", "r", None), ("a", "A", "a", "r"), ("b", "B", "b", "a"), ("c", "C", "c", "b"),
