@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listingloom.operators.dedup import latest_one
+from listingloom.storage import CODEC, shuffles_freed
 
 BUCKETS = 64
 #: The bucket of rows without a key.
@@ -134,10 +135,16 @@ class LatestState:
             parts += [(*at, path) for at, path in self._folders(f"{folder}/merged").items()]
         after = Manifest(before.version + 1, before.buckets, tuple(sorted(parts, key=repr)), tuple(total.items()))
         self._publish(after)
+        # What has been merged no manifest has ever named.
+        for part in merge.values():
+            path, system = self._path(part)
+            system.delete(path, True)
         return after
 
     def _write(self, rows: DataFrame, folder: str) -> None:
-        rows.hint("rebalance", F.col(VALUE), F.col(BUCKET)).write.partitionBy(VALUE, BUCKET).parquet(f"{self.root}/{folder}")
+        dealt = rows.hint("rebalance", F.col(VALUE), F.col(BUCKET))
+        with shuffles_freed(self.spark):
+            dealt.write.option("compression", CODEC).partitionBy(VALUE, BUCKET).parquet(f"{self.root}/{folder}")
 
     def _folders(self, folder: str) -> dict[tuple[str | None, int], str]:
         """Folders of a write by value and bucket, from the names that it gave them."""

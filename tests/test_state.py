@@ -137,3 +137,15 @@ def test_failed_attempts_are_not_counted(tmp_path):
     """
     done = subprocess.run([sys.executable, "-c", textwrap.dedent(script)], capture_output=True, text=True, timeout=300)
     assert json.loads(done.stdout.strip().splitlines()[-1]) == [5000, 5000], done.stderr[-2000:]
+
+
+def test_merged_folders_of_a_feed_go(spark, tmp_path):
+    """What a feed brought to buckets that were there before lies in the merged folders alone."""
+    state = LatestState(spark, str(tmp_path / "state"), "source", "key", "time", [F.col("value")], buckets=2)
+    rows = "source string, key string, time string, value int"
+    for time in ("1", "2"):
+        state.add(spark.createDataFrame([("a", str(i), time, i) for i in range(40)] + [("a", None, time, 7)], rows))
+    named = {folder for version in state.versions() for _, _, folder in state.manifest(version).parts}
+    there = {str(f.parent.relative_to(tmp_path / "state")) for f in (tmp_path / "state/data").rglob("*.parquet")}
+    assert there == named
+    assert state.read().count() == 42

@@ -32,3 +32,23 @@ def test_temporary_stages_go(spark):
         (path,) = {f.rsplit("/", 1)[0].removeprefix("file://") for f in staged.inputFiles()}
         assert Path(path).exists()
     assert not Path(path).exists()
+
+
+def test_shuffle_files_go_with_the_write(spark):
+    """A plan of many stored tables holds the shuffles of one write, not of all."""
+    import time
+    from pathlib import Path
+
+    folders = list(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+
+    def shuffled():
+        return {file.name for folder in folders for file in Path(folder).rglob("shuffle_*.data")}
+
+    before, setting = shuffled(), spark.conf.get(storage.CLEANUP_KEY, None)
+    stored = storage.stage(spark.range(1000).repartition(3).selectExpr("id % 7 AS k").groupBy("k").count(), "counted")
+    until = time.time() + 20
+    while shuffled() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffled() - before
+    assert spark.conf.get(storage.CLEANUP_KEY, None) == setting
+    assert stored.count() == 7 and ".zstd." in stored.inputFiles()[0]
